@@ -523,7 +523,7 @@ def _sql() -> dict[str, str]:
     q["sim_jaccard_pair"] = _q("e", [], f"""SELECT CAST({USER} AS BIGINT) AS u, CAST({USER2} AS BIGINT) AS v,
         RD(COALESCE((SELECT CAST(COUNT(*) AS DOUBLE) FROM train a JOIN train b ON a.item_id = b.item_id
                           WHERE a.user_id = {USER} AND b.user_id = {USER2})
-          / NULLIF((SELECT COUNT(DISTINCT item_id) FROM train WHERE user_id IN ({USER}, {USER2})), 0), 0.0), {D}) AS sim""")
+          / NULLIF((SELECT COUNT(DISTINCT item_id) FROM train WHERE user_id IN ({USER}, {USER2})), 0), 0.0)) AS sim""")
 
     personal = (O.uniform() + O.weighted("p_cosine", O.as_weights("cedges"))
                 + O.weighted("p_jaccard", O.as_weights("jedges")))
