@@ -5,6 +5,7 @@ from cofi.functions.scalar import (
     in_range,
     mean_or_zero,
     normalized_deviation,
+    round_key,
     round_out,
     safe_int,
     scale,
@@ -14,5 +15,5 @@ from cofi.functions.scalar import (
 
 __all__ = [
     "RATING_HI", "RATING_LO", "scale", "normalized_deviation", "denormalize",
-    "weighted_deviation", "safe_int", "in_range", "mean_or_zero", "std_or_zero", "round_out",
+    "weighted_deviation", "safe_int", "in_range", "mean_or_zero", "std_or_zero", "round_out", "round_key",
 ]

@@ -59,7 +59,16 @@ def std_or_zero(x) -> Column:
     return F.coalesce(F.stddev_pop(_c(x)), F.lit(0.0))
 
 
+def round_key(x, digits: int) -> Column:
+    """floor(x * 10^digits + 0.5): x in units of 10^-digits, rounded half up.
+
+    Plain IEEE double arithmetic (one multiply, one add, floor): every step is exactly
+    rounded, so any engine computing it from the same double gets the same result, and it
+    stays inside generated code (unlike decimal rounding, which allocates per row).
+    """
+    return F.floor(_c(x) * F.lit(10.0 ** digits) + F.lit(0.5))
+
+
 def round_out(x, digits: int = 6) -> Column:
-    """Round for output through DECIMAL(38, 9): exact decimal half-up rounding, so two
-    engines agree on values that sit on a half (e.g. 4.1234375) despite last-bit noise."""
-    return F.round(_c(x).cast("decimal(38,9)"), digits).cast("double")
+    """x rounded half up to ``digits`` decimals, as a double (see ``round_key``)."""
+    return round_key(x, digits) / F.lit(10.0 ** digits)

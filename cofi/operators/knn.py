@@ -1,11 +1,15 @@
 """k-nearest-neighbour graphs with the reference's ranking of zero similarities.
 
 Every other user is a candidate neighbour. Users sharing no item (or with similarity 0)
-take rank slots ahead of negatively similar users but are never stored. With n_pos / n_neg
-stored neighbours and n_zero = n_candidates - n_pos - n_neg, a positive keeps its rank
-among the stored edges (similarity desc, neighbour id asc) and a negative moves down by
-n_zero. The cut ``raw_rank <= k`` sits directly on the row_number, so Spark inserts a
-partial per-user limit before the shuffle; the zero offset only ever raises a rank.
+take rank slots ahead of negatively similar users but are never stored. In other words
+the ranking is by similarity descending over all candidates, where the n_zero =
+n_candidates - stored candidates sit at 0: a stored neighbour's rank is its position among
+the stored edges (similarity desc, neighbour id asc), plus n_zero when it is negative.
+
+Ranking does not sort every edge. A per-user histogram of similarity buckets (a grouped
+count, combined map-side) gives the bucket that holds the k-th candidate; only edges at or
+above it are sorted. Every edge ranked above a kept edge is kept too, so the ranks are
+exact, and a user with a huge neighbourhood sorts about k rows plus one bucket.
 """
 
 from __future__ import annotations
@@ -13,50 +17,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofi.operators.similarity import cosine_edges
-from cofi.operators.stats import n_users, norm_dev, preprocessed
+from cofi.functions import round_key
+from cofi.operators import stats
+from cofi.operators.pairs import nonzero, symmetrize
+from cofi.operators.similarity import cosine_pairs
+from cofi.operators.stats import n_users
+from cofi.session import materialize
 
 RANK_DIGITS = 10
+BUCKETS_PER_UNIT = 64  # histogram resolution: similarity buckets of width 1/64
 
 
 def top_k(edges: DataFrame, k: int, n_candidates, user: str = "u", nbr: str = "v",
           sim: str = "sim", keys: list[str] | None = None) -> DataFrame:
     """(user_id, neighbor_id, sim, rank[, keys]) for the k best neighbours of each user.
 
-    ``edges`` holds non-zero similarities in both directions. ``n_candidates`` is a
-    Column (same count for every user, e.g. a scalar subquery) or a DataFrame
-    (user_id[, keys], n_cand) with a per-user count. ``keys`` ranks separately per extra
-    key (e.g. per replication level).
+    ``edges`` holds non-zero similarities in both directions (read three times: pass a
+    scan of a written table, not a long lineage). ``n_candidates`` is a Column (same count
+    for every user, e.g. a scalar subquery) or a DataFrame (user_id[, keys], n_cand).
+    ``keys`` ranks separately per extra key (e.g. per replication level).
     """
     keys = keys or []
+    grp = ["user_id", *keys]
+    width = 10.0 ** RANK_DIGITS / BUCKETS_PER_UNIT
     e = edges.select(F.col(user).alias("user_id"), F.col(nbr).alias("neighbor_id"),
-                     F.col(sim).alias("sim"), *keys)
-    s = F.round(F.col("sim"), RANK_DIGITS)
-    w = Window.partitionBy("user_id", *keys).orderBy(s.desc(), F.col("neighbor_id"))
-    ranked = e.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+                     F.col(sim).alias("sim"), *keys).withColumn("_key", round_key("sim", RANK_DIGITS))
+    e = e.withColumn("_b", F.floor(F.col("_key") / F.lit(width)))
 
-    stored = e.groupBy("user_id", *keys).agg(F.count(F.lit(1)).alias("_stored"))
+    hist = e.groupBy(*grp, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    stored = hist.groupBy(*grp).agg(F.sum("_c").alias("_stored"))
     if isinstance(n_candidates, DataFrame):
-        cand = n_candidates.select("user_id", *keys, F.col("n_cand").alias("_cand"))
-        zeros = stored.join(cand, ["user_id", *keys]).select(
-            "user_id", *keys, (F.col("_cand") - F.col("_stored")).alias("_zero"))
+        cand = n_candidates.select(*grp, F.col("n_cand").alias("_cand"))
+        zeros = stored.join(cand, grp).select(*grp, (F.col("_cand") - F.col("_stored")).alias("_zero"))
     else:
-        zeros = stored.select("user_id", *keys,
-                              (n_candidates - F.col("_stored")).alias("_zero"))
-    rank = F.col("_rn") + F.when(s < 0, F.col("_zero")).otherwise(F.lit(0))
-    return (ranked.join(zeros, ["user_id", *keys])
+        zeros = stored.select(*grp, (n_candidates - F.col("_stored")).alias("_zero"))
+
+    # cumulative count from the top bucket down, the unstored zeros counted at 0
+    virt = zeros.where(F.col("_zero") > 0).select(*grp, F.lit(0).cast("bigint").alias("_b"),
+                                                  F.col("_zero").alias("_c"))
+    wc = (Window.partitionBy(*grp).orderBy(F.col("_b").desc())
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    thr = (hist.unionByName(virt).withColumn("_cum", F.sum("_c").over(wc))
+           .where(F.col("_cum") >= k).groupBy(*grp).agg(F.max("_b").alias("_t")))
+
+    kept = (e.join(thr, grp, "left")
+            .where(F.col("_t").isNull() | (F.col("_b") >= F.col("_t"))))
+    w = Window.partitionBy(*grp).orderBy(F.col("_key").desc(), F.col("neighbor_id"))
+    ranked = kept.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    rank = F.col("_rn") + F.when(F.col("_key") < 0, F.col("_zero")).otherwise(F.lit(0))
+    return (ranked.join(zeros, grp)
             .select("user_id", "neighbor_id", "sim", *keys, rank.cast("bigint").alias("rank"))
             .where(F.col("rank") <= k))
 
 
+def knn_graph(rhat: DataFrame, k: int, n_candidates: Column, **block) -> DataFrame:
+    """Exact kNN graph on adjusted cosine from preprocessed ratings.
+
+    The non-zero pair table is written once: the ranking and the per-user edge counts
+    both read it, instead of each re-running the self-join.
+    """
+    pairs = materialize(cosine_pairs(rhat, **block).where(nonzero(F.col("sim"))), "pairs")
+    return top_k(symmetrize(pairs), k, n_candidates)
+
+
 def knn_from_ratings(train: DataFrame, k: int, n_candidates: Column | None = None,
                      **block) -> DataFrame:
-    """Exact kNN graph on adjusted cosine: ratings -> deviations -> rhat -> pairs -> top-k."""
-    rhat = preprocessed(norm_dev(train))
-    edges = cosine_edges(rhat, **block)
+    """Exact kNN graph: ratings -> deviations -> rhat -> pairs -> top-k."""
+    rhat = materialize(stats.enrich(train), "enriched").select("user_id", "item_id", "rhat")
     if n_candidates is None:
         n_candidates = n_users(train) - 1
-    return top_k(edges, k, n_candidates)
+    return knn_graph(rhat, k, n_candidates, **block)
 
 
 def knn_lookup(knn: DataFrame, pairs: DataFrame) -> DataFrame:

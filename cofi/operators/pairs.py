@@ -7,6 +7,11 @@ raters gets b = ceil(n / block_rows) blocks (at most ``max_blocks``), each rater
 block hash(user) mod b, and block pair (i, j), i <= j, is one join key. Work per task is then
 about (n / b)^2, while the left side is copied (b - i) times; keys under ``block_rows``
 raters keep b = 1 and are joined as they are.
+
+Both sides are hash-partitioned on (key, block) with the configured partition count: the
+distribution a shuffle join needs anyway, kept even when the runtime plan broadcasts one
+side, because the work of this join grows with the square of a key's raters, not with its
+input bytes (so it must not be merged into a few tasks by input size).
 """
 
 from __future__ import annotations
@@ -14,8 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cofi.functions import round_key
+
 DEFAULT_BLOCK_ROWS = 2048
-DEFAULT_MAX_BLOCKS = 64
+DEFAULT_MAX_BLOCKS = 256
 
 
 def co_rated_pairs(df: DataFrame, keys: list[str], value: str | None = None,
@@ -47,14 +54,18 @@ def co_rated_pairs(df: DataFrame, keys: list[str], value: str | None = None,
         right = base.select(*keys, F.col("user_id").alias("_v"), F.col("_val").alias("b"),
                             F.col("_blk").alias("_vb"),
                             *[F.col(c).alias(c + "_v") for c in carry])
-        joined = left.join(right, keys + ["_vb"]).where(
+        n = _partitions(df)
+        joined = left.repartition(n, *keys, "_vb").join(right.repartition(n, *keys, "_vb"),
+                                                        keys + ["_vb"]).where(
             (F.col("_ub") < F.col("_vb")) | (F.col("_u") < F.col("_v")))
     else:
         left = base.select(*keys, F.col("user_id").alias("_u"), F.col("_val").alias("a"),
                            *[F.col(c).alias(c + "_u") for c in carry])
         right = base.select(*keys, F.col("user_id").alias("_v"), F.col("_val").alias("b"),
                             *[F.col(c).alias(c + "_v") for c in carry])
-        joined = left.join(right, keys).where(F.col("_u") < F.col("_v"))
+        n = _partitions(df)
+        joined = (left.repartition(n, *keys).join(right.repartition(n, *keys), keys)
+                  .where(F.col("_u") < F.col("_v")))
 
     # Across blocks the pair can come out as (larger, smaller): order it.
     u = F.least("_u", "_v").alias("u")
@@ -69,14 +80,18 @@ def co_rated_pairs(df: DataFrame, keys: list[str], value: str | None = None,
     return joined.select(u, v, *keys, a, b, *carried)
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def symmetrize(pairs: DataFrame, u: str = "u", v: str = "v", cols: list[str] | None = None) -> DataFrame:
-    """Pairs stored once (u < v) to both directions."""
+    """Pairs stored once (u < v) to both directions, in one pass (a generator, no union)."""
     cols = cols or ["sim"]
-    fwd = pairs.select(F.col(u).alias("u"), F.col(v).alias("v"), *cols)
-    back = pairs.select(F.col(v).alias("u"), F.col(u).alias("v"), *cols)
-    return fwd.unionByName(back)
+    both = F.explode(F.array(F.struct(F.col(u).alias("u"), F.col(v).alias("v")),
+                             F.struct(F.col(v).alias("u"), F.col(u).alias("v"))))
+    return pairs.select(both.alias("_e"), *cols).select("_e.u", "_e.v", *cols)
 
 
 def nonzero(x: Column, digits: int = 10) -> Column:
     """A similarity counts as present when it is non-zero at ``digits`` decimals."""
-    return F.round(x, digits) != 0
+    return round_key(x, digits) != 0

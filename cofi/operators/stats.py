@@ -91,6 +91,18 @@ def preprocessed(dev: DataFrame) -> DataFrame:
                      .otherwise(F.col("dev") / F.col("norm")).alias("rhat")))
 
 
+def enrich(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """(user_id, item_id, rating, user_avg, dev, rhat): every per-rating quantity the
+    predictors and similarities need, in one table (materialize it when several branches
+    read it)."""
+    dev = norm_dev(train, lo, hi)
+    nrm = user_norm(dev)
+    return (dev.join(nrm, "user_id")
+            .select("user_id", "item_id", "rating", "user_avg", "dev",
+                    F.when(F.col("norm") == 0, F.lit(0.0))
+                     .otherwise(F.col("dev") / F.col("norm")).alias("rhat")))
+
+
 def rating_or_user_avg(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """(user_id, item_id, value): the stored rating, else the user's average, else NULL."""
     ua = user_avg(train).select("user_id", "user_avg")

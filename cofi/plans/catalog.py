@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cofi.functions import denormalize, round_out, weighted_deviation
 from cofi.operators import approx, knn as knn_ops, metrics, predict, recommend, similarity, stats
+from cofi.operators.pairs import nonzero
 from cofi.plans import oracle as O
 from cofi.sources import (
     events_ratings,
@@ -24,6 +25,7 @@ from cofi.sources import (
     rating_lines_from,
     split_train_test,
 )
+from cofi.session import materialize
 from cofi.sources.ratings import append_user
 from cofi.sources.sinks import answers_table, nested_answers, run_metadata
 
@@ -46,20 +48,32 @@ def R(c) -> F.Column:
 
 
 class Fixture:
-    """Train / test and the derived tables of one fixture; plans only, nothing runs here."""
+    """Train / test and the derived tables of one fixture.
+
+    The derived ratings and the per-rating table (averages, deviations, rhat) are each
+    written once to the checkpoint folder: many branches of a query read them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, fix: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self.ratings = orders_ratings(spark, sf_dir) if fix == "o" else events_ratings(spark, sf_dir)
+        self.spark, self.sf_dir, self.fix = spark, sf_dir, fix
+        raw = orders_ratings(spark, sf_dir) if fix == "o" else events_ratings(spark, sf_dir)
+        self.ratings = materialize(raw, f"ratings_{fix}")
         self.train, self.test = split_train_test(self.ratings)
+        self._enriched = None
+
+    @property
+    def enriched(self) -> DataFrame:
+        if self._enriched is None:
+            self._enriched = materialize(stats.enrich(self.train), f"enriched_{self.fix}")
+        return self._enriched
 
     @property
     def dev(self) -> DataFrame:
-        return stats.norm_dev(self.train)
+        return self.enriched.select("user_id", "item_id", "rating", "user_avg", "dev")
 
     @property
     def rhat(self) -> DataFrame:
-        return stats.preprocessed(self.dev)
+        return self.enriched.select("user_id", "item_id", "dev", "rhat")
 
     @property
     def users(self) -> DataFrame:
@@ -69,7 +83,7 @@ class Fixture:
         return similarity.cosine_edges(self.rhat)
 
     def knn(self, k: int) -> DataFrame:
-        return knn_ops.top_k(self.cosine_edges(), k, stats.n_users(self.train) - 1)
+        return knn_ops.knn_graph(self.rhat, k, stats.n_users(self.train) - 1)
 
     def weights(self, edges: DataFrame) -> DataFrame:
         return edges.select(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"), "sim")
@@ -362,8 +376,9 @@ def q_recommend_new_user(spark, sf):
     uid = r.select(F.max("user_id") + 1).scalar()
     personal = personal_from_parts(spark, sf)
     mine = personal_ratings(personal, uid)
-    data = append_user(r, mine)
-    rec = recommend.recommend_user(data, stats.norm_dev(data), uid, K_SWEEP, TOP_N)
+    data = materialize(append_user(r, mine), "ratings_new_user")
+    dev = materialize(stats.enrich(data), "enriched_new_user")
+    rec = recommend.recommend_user(data, dev, uid, K_SWEEP, TOP_N)
     titles = personal.select(F.col("id").alias("item_id"), "title")
     return rec.join(titles, "item_id", "left").select("rank", "item_id", "title", "prediction")
 
@@ -387,7 +402,7 @@ def q_pred_knn_approx(spark, sf):
 
 def q_mae_by_replication(spark, sf):
     fx = Fixture(spark, sf, "e")
-    pairs = similarity.cosine_pairs(fx.rhat)
+    pairs = materialize(similarity.cosine_pairs(fx.rhat).where(nonzero(F.col("sim"))), "pairs_e")
     g = approx.replication_sweep_graph(pairs, fx.users, K_SWEEP, PARTITIONS, REPLICATIONS)
     t = fx.test.select("user_id", "item_id", "rating")
     d = fx.dev.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
@@ -437,7 +452,7 @@ def _q(fix: str, extra: list[str], select: str) -> str:
 
 
 def _expand_rd(sql: str) -> str:
-    """RD(x) -> x rounded to D decimals through DECIMAL(38, 9), as the Spark side does."""
+    """RD(x) -> x rounded half up to D decimals in double arithmetic, as the Spark side does."""
     while (i := sql.find("RD(")) >= 0:
         depth, j = 0, i + 2
         while True:
@@ -446,7 +461,7 @@ def _expand_rd(sql: str) -> str:
                 break
             j += 1
         inner = sql[i + 3:j]
-        sql = sql[:i] + f"CAST(ROUND(CAST({inner} AS DECIMAL(38, 9)), {D}) AS DOUBLE)" + sql[j + 1:]
+        sql = sql[:i] + f"(FLOOR(({inner}) * {10.0 ** D!r} + 0.5) / {10.0 ** D!r})" + sql[j + 1:]
     return sql
 
 

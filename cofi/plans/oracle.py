@@ -51,14 +51,14 @@ def base(fix: str) -> list[str]:
              FROM dev d JOIN nrm n ON n.user_id = d.user_id)""",
         """cpairs AS (SELECT a.user_id AS u, b.user_id AS v, SUM(a.rhat * b.rhat) AS sim
              FROM rhat a JOIN rhat b ON a.item_id = b.item_id AND a.user_id < b.user_id GROUP BY 1, 2)""",
-        """cedges AS (SELECT u, v, sim FROM cpairs WHERE ROUND(sim, 10) <> 0
-             UNION ALL SELECT v AS u, u AS v, sim FROM cpairs WHERE ROUND(sim, 10) <> 0)""",
+        """cedges AS (SELECT u, v, sim FROM cpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0
+             UNION ALL SELECT v AS u, u AS v, sim FROM cpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0)""",
         """jcommon AS (SELECT a.user_id AS u, b.user_id AS v, COUNT(*) AS c
              FROM train a JOIN train b ON a.item_id = b.item_id AND a.user_id < b.user_id GROUP BY 1, 2)""",
         """jpairs AS (SELECT j.u, j.v, CAST(j.c AS DOUBLE) / (x.n + y.n - j.c) AS sim
              FROM jcommon j JOIN ua x ON x.user_id = j.u JOIN ua y ON y.user_id = j.v)""",
-        """jedges AS (SELECT u, v, sim FROM jpairs WHERE ROUND(sim, 10) <> 0
-             UNION ALL SELECT v AS u, u AS v, sim FROM jpairs WHERE ROUND(sim, 10) <> 0)""",
+        """jedges AS (SELECT u, v, sim FROM jpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0
+             UNION ALL SELECT v AS u, u AS v, sim FROM jpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0)""",
     ]
 
 
@@ -76,11 +76,11 @@ def knn(name: str, edges: str, k: int, cand: str | None = None, keys: tuple[str,
         cand_join = f"JOIN {cand} c ON {on}"
     return [
         f"""{name}_r AS (SELECT u, v, sim{kp},
-               ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY ROUND(sim, 10) DESC, v) AS rn,
+               ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY FLOOR(sim * 10000000000.0 + 0.5) DESC, v) AS rn,
                COUNT(*) OVER (PARTITION BY {part}) AS stored FROM {edges})""",
         f"""{name} AS (SELECT * FROM (
                SELECT x.u AS user_id, x.v AS neighbor_id, x.sim{''.join(f', x.{c}' for c in keys)},
-                 CAST(x.rn + CASE WHEN ROUND(x.sim, 10) < 0 THEN {cand_expr} - x.stored ELSE 0 END AS BIGINT) AS rank
+                 CAST(x.rn + CASE WHEN FLOOR(x.sim * 10000000000.0 + 0.5) < 0 THEN {cand_expr} - x.stored ELSE 0 END AS BIGINT) AS rank
                FROM {name}_r x {cand_join} WHERE x.rn <= {k}) WHERE rank <= {k})""",
     ]
 
@@ -151,9 +151,9 @@ def bins(name: str, users: str, partitions: int, reps: str | int) -> list[str]:
              FROM {name} x JOIN {name} y ON x.bin = y.bin AND x.replication = y.replication
                AND x.user_id < y.user_id)""",
         f"""{name}_edges AS (SELECT p.u, p.v, p.sim, s.replication FROM cpairs p
-               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE ROUND(p.sim, 10) <> 0
+               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE FLOOR(p.sim * 10000000000.0 + 0.5) <> 0
              UNION ALL SELECT p.v AS u, p.u AS v, p.sim, s.replication FROM cpairs p
-               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE ROUND(p.sim, 10) <> 0)""",
+               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE FLOOR(p.sim * 10000000000.0 + 0.5) <> 0)""",
     ]
 
 

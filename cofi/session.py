@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -55,8 +57,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` reliably in the checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches of a plan (both sides of a
+    self-join, a ranking and its per-user counts): each branch then scans the written
+    columns it needs instead of recomputing the lineage, and the lineage is cut, so a lost
+    executor costs a re-read, not a recomputation from the sources.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cofi-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
