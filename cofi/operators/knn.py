@@ -44,29 +44,35 @@ def top_k(edges: DataFrame, k: int, n_candidates, user: str = "u", nbr: str = "v
                      F.col(sim).alias("sim"), *keys).withColumn("_key", round_key("sim", RANK_DIGITS))
     e = e.withColumn("_b", F.floor(F.col("_key") / F.lit(width)))
 
+    # Per user: histogram of buckets, stored total, cumulative count from the top bucket
+    # down; the unstored zero candidates count from bucket 0 down. The threshold is the
+    # highest bucket whose cumulative count reaches k (none: every edge is kept).
     hist = e.groupBy(*grp, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    stored = hist.groupBy(*grp).agg(F.sum("_c").alias("_stored"))
+    w_all = Window.partitionBy(*grp)
+    w_cum = (Window.partitionBy(*grp).orderBy(F.col("_b").desc())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    h = (hist.withColumn("_stored", F.sum("_c").over(w_all))
+         .withColumn("_cum", F.sum("_c").over(w_cum)))
     if isinstance(n_candidates, DataFrame):
-        cand = n_candidates.select(*grp, F.col("n_cand").alias("_cand"))
-        zeros = stored.join(cand, grp).select(*grp, (F.col("_cand") - F.col("_stored")).alias("_zero"))
+        h = h.join(n_candidates.select(*grp, F.col("n_cand").alias("_cand")), grp)
+        zero = F.col("_cand") - F.col("_stored")
     else:
-        zeros = stored.select(*grp, (n_candidates - F.col("_stored")).alias("_zero"))
-
-    # cumulative count from the top bucket down, the unstored zeros counted at 0
-    virt = zeros.where(F.col("_zero") > 0).select(*grp, F.lit(0).cast("bigint").alias("_b"),
-                                                  F.col("_zero").alias("_c"))
-    wc = (Window.partitionBy(*grp).orderBy(F.col("_b").desc())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    thr = (hist.unionByName(virt).withColumn("_cum", F.sum("_c").over(wc))
-           .where(F.col("_cum") >= k).groupBy(*grp).agg(F.max("_b").alias("_t")))
-
-    kept = (e.join(thr, grp, "left")
+        zero = n_candidates - F.col("_stored")
+    h = h.withColumn("_zero", zero)
+    reach = F.col("_cum") + F.when(F.col("_b") <= 0, F.col("_zero")).otherwise(F.lit(0))
+    # One row per user, written first so the planner sees its real size: broadcast when
+    # small (edges are filtered before any shuffle), shuffle join otherwise.
+    per_user = materialize(
+        h.groupBy(*grp).agg(F.max(F.when(reach >= k, F.col("_b"))).alias("_t"),
+                            F.max("_zero").alias("_zero")),
+        "topk_threshold")
+
+    kept = (e.join(per_user, grp)
             .where(F.col("_t").isNull() | (F.col("_b") >= F.col("_t"))))
     w = Window.partitionBy(*grp).orderBy(F.col("_key").desc(), F.col("neighbor_id"))
     ranked = kept.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
     rank = F.col("_rn") + F.when(F.col("_key") < 0, F.col("_zero")).otherwise(F.lit(0))
-    return (ranked.join(zeros, grp)
-            .select("user_id", "neighbor_id", "sim", *keys, rank.cast("bigint").alias("rank"))
+    return (ranked.select("user_id", "neighbor_id", "sim", *keys, rank.cast("bigint").alias("rank"))
             .where(F.col("rank") <= k))
 
 
