@@ -371,6 +371,11 @@ def q_recommend_user(spark, sf):
     return recommend.recommend_user(fx.train, fx.dev, USER, K, TOP_N)
 
 
+def q_recommend_all(spark, sf):
+    fx = Fixture(spark, sf, "e")
+    return recommend.recommend_all(fx.train, fx.dev, knn_ops.as_edges(fx.knn(K)), TOP_N)
+
+
 def q_recommend_new_user(spark, sf):
     r = orders_ratings(spark, sf)
     uid = r.select(F.max("user_id") + 1).scalar()
@@ -589,6 +594,14 @@ def _sql() -> dict[str, str]:
         + O.knn("g1", "e1", k) + O.weighted("pc", O.edges_of("g1"), "cand")
         + [f"""top AS (SELECT user_id, item_id, RD(prediction) AS prediction,
                ROW_NUMBER() OVER (ORDER BY RD(prediction) DESC, item_id) AS rank FROM pc)"""])
+    q["recommend_all"] = _q("e", O.knn("kg", "cedges", K) + [
+        """allc AS (SELECT u.user_id, i.item_id, CAST(NULL AS DOUBLE) AS rating
+             FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN (SELECT DISTINCT item_id FROM train) i
+             WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = i.item_id))"""]
+        + O.weighted("pa", O.edges_of("kg"), "allc") + [
+        """ra AS (SELECT user_id, item_id, RD(prediction) AS prediction,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY RD(prediction) DESC, item_id) AS rank FROM pa)"""],
+        f"SELECT user_id, rank, item_id, prediction FROM ra WHERE rank <= {TOP_N}")
     q["recommend_user"] = _q("e", rec(USER, K, "cedges"),
                              f"SELECT user_id, rank, item_id, prediction FROM top WHERE rank <= {TOP_N}")
     q["recommend_new_user"] = O.with_(

@@ -147,3 +147,18 @@ def test_nonzero_filter(spark):
     df = spark.createDataFrame([(1e-11,), (-1e-11,), (6e-11,), (-6e-11,), (0.0,)], "s DOUBLE")
     got = [r.s for r in df.where(nonzero(F.col("s"))).collect()]
     assert sorted(got) == [-6e-11, 6e-11]
+
+
+def test_recommend_all_micro(micro):
+    train, _ = micro
+    dev = stats.norm_dev(train)
+    rec = recommend.recommend_all(train, dev, knn.as_edges(knn.knn_from_ratings(train, 2)), 3)
+    got = {}
+    for r in rec.orderBy("user_id", "rank").collect():
+        got.setdefault(r.user_id, []).append((r.item_id, round(r.prediction, 6)))
+    assert got[2] == [(13, 3.857143), (14, 3.0), (15, 3.0)]
+    assert got[4] == [(10, 3.0), (11, 3.0), (12, 3.0)]
+    for u in (1, 3, 5):
+        single = [(r.item_id, r.prediction) for r in
+                  recommend.recommend_user(train, dev, u, 2, 3).orderBy("rank").collect()]
+        assert got[u] == single
