@@ -66,7 +66,37 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     executor costs a re-read, not a recomputation from the sources.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cofi-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{_table_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
+
+_ROOTS: dict[str, str] = {}
+
+
+def _table_root(spark: SparkSession) -> str:
+    """``<checkpoint dir>/cofi-tables/<application id>``: every table this application
+    writes; ``drop_tables`` removes it (also registered for deletion at file system close)."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/cofi-tables/{app}"
+        try:
+            jvm = spark.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(root)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+        except Exception:  # noqa: BLE001 - cleanup is best effort
+            pass
+        _ROOTS[app] = root
+    return _ROOTS[app]
+
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with ``materialize`` (call at job end,
+    once no DataFrame built on them will run again)."""
+    root = _ROOTS.pop(spark.sparkContext.applicationId, None)
+    if root is None:
+        return
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(root)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -26,9 +26,19 @@ def parse_rating_lines(lines: DataFrame, sep: str = "\t", col: str = "value") ->
                     F.trim(parts.getItem(2)).cast("double").alias("rating")))
 
 
-def load_ratings_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """Tab- or ``::``-separated text files (any Hadoop path, directory or glob)."""
-    return parse_rating_lines(spark.read.text(path), sep)
+def load_ratings_text(spark: SparkSession, path: str, sep: str = "\t",
+                      n_users: int | None = None, n_items: int | None = None) -> DataFrame:
+    """Tab- or ``::``-separated text files (any Hadoop path, directory or glob).
+
+    ``n_users`` / ``n_items`` optionally keep only ids in 1..n (the declared matrix
+    dimensions of a dataset); ids are never renumbered.
+    """
+    df = parse_rating_lines(spark.read.text(path), sep)
+    if n_users is not None:
+        df = df.where(F.col("user_id").between(1, n_users))
+    if n_items is not None:
+        df = df.where(F.col("item_id").between(1, n_items))
+    return df
 
 
 def load_ratings(spark: SparkSession, path: str, fmt: str = "parquet", sep: str = ",",

@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cofi.session import build_session  # noqa: E402
+from cofi.session import build_session, drop_tables  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", shuffle_partitions=8, app_name="cofi-tests")
     yield s
+    drop_tables(s)
     s.stop()
 
 

@@ -88,3 +88,10 @@ def test_answers(spark):
     a = spark.createDataFrame([("B.1", "mae", 0.5), ("B.1", "avg", 3.0)], "section STRING, metric STRING, value DOUBLE")
     j = nested_answers(answers_table(a)).first()
     assert j.section == "B.1" and j.json == '{"avg":3.0,"mae":0.5}'
+
+
+def test_text_dimensions(spark, tmp_path):
+    p = tmp_path / "u.base"
+    p.write_text("1\t10\t5\t0\n3\t10\t4\t0\n1\t99\t2\t0\n")
+    got = sorted(tuple(r) for r in load_ratings_text(spark, str(p), n_users=2, n_items=50).collect())
+    assert got == [(1, 10, 5.0)]
