@@ -46,11 +46,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder is made.
+    A cluster names it; only when it is unset in local mode (tests) a scratch folder is
+    made. On a cluster an unset folder is an error: a machine-local folder would split the
+    written tables across executors.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="cofi-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor shares "
+                             "(intermediate tables are written there)")
+        path = tempfile.mkdtemp(prefix="cofi-ckpt-")  # local mode only: one machine
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
