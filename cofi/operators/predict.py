@@ -98,3 +98,25 @@ def point(spark: SparkSession, user, item) -> DataFrame:
     return spark.range(1).select(F.lit(user).cast("bigint").alias("user_id"),
                                  F.lit(item).cast("bigint").alias("item_id"),
                                  F.lit(None).cast("double").alias("rating"))
+
+
+def pred_weighted_per(train: DataFrame, test: DataFrame, dev: DataFrame, edges: DataFrame,
+                      key: str, values: list[int]) -> DataFrame:
+    """Weighted predictions for several graphs at once: ``edges`` (user_id, neighbor_id,
+    sim, ``key``) holds one graph per value of ``key`` (e.g. k, replication level); every
+    test row is scored once per value. Output: key, user_id, item_id, rating, prediction.
+    """
+    vals = F.array(*[F.lit(v).cast("bigint") for v in sorted(set(values))])
+    t = _test_cols(test)
+    d = dev.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
+    sums = (t.select("user_id", "item_id")
+            .join(edges.select("user_id", "neighbor_id", "sim", key), "user_id")
+            .join(d, ["neighbor_id", "item_id"])
+            .groupBy(key, "user_id", "item_id")
+            .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
+    ua = user_avg(train).select("user_id", "user_avg")
+    avg = F.coalesce("user_avg", global_avg(train))
+    j = (t.select("*", F.explode(vals).alias(key))
+         .join(sums, [key, "user_id", "item_id"], "left").join(ua, "user_id", "left"))
+    return j.select(key, "user_id", "item_id", "rating",
+                    denormalize(avg, weighted_deviation("num", "den")).alias("prediction"))

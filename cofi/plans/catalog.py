@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofi.functions import denormalize, round_out, weighted_deviation
+from cofi.functions import round_out
 from cofi.operators import approx, knn as knn_ops, metrics, predict, recommend, similarity, stats
 from cofi.operators.pairs import nonzero
 from cofi.plans import oracle as O
@@ -342,21 +342,10 @@ def q_mae_knn_by_k(spark, sf):
 def metrics_by_k(fx: Fixture, ks: list[int]) -> DataFrame:
     """(k, mae) for several k at once: rank once with max(k); a neighbour of rank r counts
     for every k >= r."""
-    graph = fx.knn(max(ks))
     karr = F.array(*[F.lit(k).cast("bigint") for k in sorted(ks)])
-    t = fx.test.select("user_id", "item_id", "rating")
-    d = fx.dev.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
-    sums = (t.select("user_id", "item_id").join(graph, "user_id")
-            .join(d, ["neighbor_id", "item_id"])
-            .select("user_id", "item_id", "sim", "dev",
-                    F.explode(F.filter(karr, lambda k: k >= F.col("rank"))).alias("k"))
-            .groupBy("k", "user_id", "item_id")
-            .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
-    ua = stats.user_avg(fx.train).select("user_id", "user_avg")
-    avg = F.coalesce("user_avg", stats.global_avg(fx.train))
-    p = (t.select("*", F.explode(karr).alias("k"))
-         .join(sums, ["k", "user_id", "item_id"], "left").join(ua, "user_id", "left")
-         .select("k", "rating", denormalize(avg, weighted_deviation("num", "den")).alias("prediction")))
+    graph = fx.knn(max(ks)).select("user_id", "neighbor_id", "sim", "rank",
+                                   F.explode(karr).alias("k")).where(F.col("rank") <= F.col("k"))
+    p = predict.pred_weighted_per(fx.train, fx.test, fx.dev, graph, "k", ks)
     return p.groupBy("k").agg(R(F.avg(F.abs(F.col("rating") - F.col("prediction")))).alias("mae"))
 
 
@@ -409,18 +398,7 @@ def q_mae_by_replication(spark, sf):
     fx = Fixture(spark, sf, "e")
     pairs = materialize(similarity.cosine_pairs(fx.rhat).where(nonzero(F.col("sim"))), "pairs_e")
     g = approx.replication_sweep_graph(pairs, fx.users, K_SWEEP, PARTITIONS, REPLICATIONS)
-    t = fx.test.select("user_id", "item_id", "rating")
-    d = fx.dev.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
-    sums = (t.select("user_id", "item_id").join(g, "user_id").join(d, ["neighbor_id", "item_id"])
-            .groupBy("replication", "user_id", "item_id")
-            .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
-    reps = F.array(*[F.lit(r).cast("bigint") for r in REPLICATIONS])
-    ua = stats.user_avg(fx.train).select("user_id", "user_avg")
-    avg = F.coalesce("user_avg", stats.global_avg(fx.train))
-    p = (t.select("*", F.explode(reps).alias("replication"))
-         .join(sums, ["replication", "user_id", "item_id"], "left").join(ua, "user_id", "left")
-         .select("replication", "rating",
-                 denormalize(avg, weighted_deviation("num", "den")).alias("prediction")))
+    p = predict.pred_weighted_per(fx.train, fx.test, fx.dev, g, "replication", REPLICATIONS)
     return p.groupBy("replication").agg(
         R(F.avg(F.abs(F.col("rating") - F.col("prediction")))).alias("mae"))
 
