@@ -95,3 +95,13 @@ def test_text_dimensions(spark, tmp_path):
     p.write_text("1\t10\t5\t0\n3\t10\t4\t0\n1\t99\t2\t0\n")
     got = sorted(tuple(r) for r in load_ratings_text(spark, str(p), n_users=2, n_items=50).collect())
     assert got == [(1, 10, 5.0)]
+
+
+def test_write_answers(spark, tmp_path):
+    import json
+    from cofi.sources.sinks import write_answers
+    a = spark.createDataFrame([("N.1", "mae", 0.75)], "section STRING, metric STRING, value DOUBLE")
+    out = str(tmp_path / "answers")
+    write_answers(answers_table(a), out)
+    rows = [json.loads(line) for line in spark.read.text(out).toPandas()["value"]]
+    assert rows == [{"section": "N.1", "json": '{"mae":0.75}'}]
