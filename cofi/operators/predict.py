@@ -109,9 +109,14 @@ def pred_weighted_per(train: DataFrame, test: DataFrame, dev: DataFrame, edges:
     vals = F.array(*[F.lit(v).cast("bigint") for v in sorted(set(values))])
     t = _test_cols(test)
     d = dev.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
+    # one row per (user, neighbour) with the graphs it belongs to (at most len(values)),
+    # so test rows and deviations are joined once per neighbour, not once per graph
+    e = (edges.groupBy("user_id", "neighbor_id")
+         .agg(F.max("sim").alias("sim"), F.collect_list(key).alias("_keys")))
     sums = (t.select("user_id", "item_id")
-            .join(edges.select("user_id", "neighbor_id", "sim", key), "user_id")
+            .join(e, "user_id")
             .join(d, ["neighbor_id", "item_id"])
+            .select("user_id", "item_id", "sim", "dev", F.explode("_keys").alias(key))
             .groupBy(key, "user_id", "item_id")
             .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
     ua = user_avg(train).select("user_id", "user_avg")
