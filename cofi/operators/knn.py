@@ -102,6 +102,13 @@ def knn_lookup(knn: DataFrame, pairs: DataFrame) -> DataFrame:
             .select("u", "v", F.coalesce("sim", F.lit(0.0)).alias("sim")))
 
 
+def nested(knn: DataFrame) -> DataFrame:
+    """(user_id, neighbors ARRAY<STRUCT<rank, neighbor_id, sim>>): one list per user, in
+    rank order. A list holds at most k entries, so the grouping is bounded."""
+    return knn.groupBy("user_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "neighbor_id", "sim"))).alias("neighbors"))
+
+
 def as_edges(knn: DataFrame) -> DataFrame:
     """Graph rows as prediction weights (user_id, neighbor_id, sim)."""
     return knn.select("user_id", "neighbor_id", "sim")

@@ -162,3 +162,11 @@ def test_recommend_all_micro(micro):
         single = [(r.item_id, r.prediction) for r in
                   recommend.recommend_user(train, dev, u, 2, 3).orderBy("rank").collect()]
         assert got[u] == single
+
+
+def test_knn_nested(micro):
+    train, _ = micro
+    rows = {r.user_id: [(x.rank, x.neighbor_id) for x in r.neighbors]
+            for r in knn.nested(knn.knn_from_ratings(train, 3)).collect()}
+    assert rows[3] == [(2, 5), (3, 1)]
+    assert rows[1] == [(1, 2)]
