@@ -75,3 +75,28 @@ def test_uniform_equals_baseline_shape(ev):
     """Averages stay inside the rating scale."""
     ua = stats.user_avg(ev.train).agg(F.min("user_avg"), F.max("user_avg")).first()
     assert 1.0 <= ua[0] <= ua[1] <= 5.0
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 40])
+def test_top_k_against_brute_force(spark, ev, k):
+    """Histogram-bounded ranking vs. a full ranking of every candidate (zeros included)
+    on a thinned fixture, where most pairs have nothing in common."""
+    import math
+
+    thin = ev.train.where("(user_id * 7 + item_id * 13) % 3 = 0")
+    rhat = stats.preprocessed(stats.norm_dev(thin))
+    pairs = similarity.cosine_pairs(rhat).collect()
+    users = sorted(r.user_id for r in thin.select("user_id").distinct().collect())
+    sim = {}
+    for r in pairs:
+        sim[(r.u, r.v)] = sim[(r.v, r.u)] = r.sim
+    want = set()
+    for u in users:
+        cand = [(v, sim.get((u, v), 0.0)) for v in users if v != u]
+        key = lambda x: (-math.floor(x[1] * 1e10 + 0.5), x[0])
+        for rank, (v, s) in enumerate(sorted(cand, key=key), start=1):
+            if rank <= k and math.floor(s * 1e10 + 0.5) != 0:
+                want.add((u, v, rank))
+    g = knn.knn_graph(rhat, k, F.lit(len(users) - 1))
+    got = {(r.user_id, r.neighbor_id, r.rank) for r in g.collect()}
+    assert got == want
