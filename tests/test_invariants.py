@@ -100,3 +100,22 @@ def test_top_k_against_brute_force(spark, ev, k):
     g = knn.knn_graph(rhat, k, F.lit(len(users) - 1))
     got = {(r.user_id, r.neighbor_id, r.rank) for r in g.collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("k", [2, 5, 12])
+def test_sweep_ranking_equals_per_level_top_k(ev, k):
+    """One sort per user with running per-level counts == ranking each level separately."""
+    from cofi.operators.pairs import nonzero, symmetrize
+
+    pairs = similarity.cosine_pairs(ev.rhat).where(nonzero(F.col("sim")))
+    levels = [1, 2, 3, 5]
+    got = {tuple(r) for r in approx.replication_sweep_graph(pairs, ev.users, k, 6, levels)
+           .select("user_id", "neighbor_id", "replication", "rank").collect()}
+    want = set()
+    for r in levels:
+        bins = approx.user_bins(ev.users, 6, r)
+        shared = approx.approx_pairs(ev.rhat, bins).where(nonzero(F.col("sim")))
+        sets = bins.groupBy("user_id").agg(F.sort_array(F.collect_list("bin")).alias("bins"))
+        g = knn.top_k(symmetrize(shared), k, approx.candidates(sets))
+        want |= {(x.user_id, x.neighbor_id, r, x.rank) for x in g.collect()}
+    assert got == want
