@@ -73,7 +73,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{_table_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema just written is known: reading with it skips the footer-inference job.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _ROOTS: dict[str, str] = {}
