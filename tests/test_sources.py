@@ -105,3 +105,13 @@ def test_write_answers(spark, tmp_path):
     write_answers(answers_table(a), out)
     rows = [json.loads(line) for line in spark.read.text(out).toPandas()["value"]]
     assert rows == [{"section": "N.1", "json": '{"mae":0.75}'}]
+
+
+def test_materialize_round_trip(spark):
+    from cofi.session import materialize
+    df = spark.createDataFrame(
+        [(1, 10, 4.5, "a"), (2, None, None, None), (3, 30, 1.0, "c")],
+        "user_id INT, item_id BIGINT, rating DOUBLE, tag STRING")
+    back = materialize(df, "round_trip")
+    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in df.schema]
+    assert sorted(back.collect(), key=lambda r: r.user_id) == sorted(df.collect(), key=lambda r: r.user_id)
