@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cofi.llm import bpe, quality
+from cofi.llm import bpe, quality, simhash
 from cofi.llm.common import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = quality.judge(read_table(spark, sf_dir, "documents"))
     return x.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -24,6 +28,6 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_quality_rules, op8_byte_bpe)}
+    f.__name__: f for f in (op3_simhash, op7_quality_rules, op8_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}
