@@ -7,12 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cofi.llm import bpe, quality, simhash
+from cofi.llm import bpe, mixing, pii, quality, simhash
 from cofi.llm.common import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Stands for the secret that a production run is given.
+PII_KEY = "pseudonym key of the registered queries"
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.selection(read_table(spark, sf_dir, "documents"))
+
+
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(read_table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +40,6 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash, op7_quality_rules, op8_byte_bpe)}
+    f.__name__: f for f in (op1_mix_sources, op2_pii_pseudonyms, op3_simhash, op7_quality_rules, op8_byte_bpe)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.oracle_sql()}
