@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cofi.llm import bpe, mixing, pii, quality, simhash
+from cofi.llm import bpe, licenses, mixing, pii, quality, simhash, urls
 from cofi.llm.common import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,7 +39,17 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(read_table(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read_table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.registered_rules()))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii_pseudonyms, op3_simhash, op7_quality_rules, op8_byte_bpe)}
+    f.__name__: f for f in (op1_mix_sources, op2_pii_pseudonyms, op3_simhash, op7_quality_rules, op8_byte_bpe,
+                              op9_url_filters, op10_license_scan)}
 
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.oracle_sql(), "op9_url_filters": urls.oracle_sql(),
+                              "op10_license_scan": licenses.oracle_sql()}
