@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cofi.llm import bpe, licenses, mixing, pii, quality, simhash, urls
+from cofi.llm import bpe, ctph, fm, licenses, mixing, pii, quality, simhash, suffix, urls
 from cofi.llm.common import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -29,6 +29,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_ctph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
+def op5_fm_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = quality.judge(read_table(spark, sf_dir, "documents"))
     return x.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -48,8 +60,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii_pseudonyms, op3_simhash, op7_quality_rules, op8_byte_bpe,
-                              op9_url_filters, op10_license_scan)}
+    f.__name__: f for f in (op1_mix_sources, op2_pii_pseudonyms, op3_simhash, op4_ctph, op5_fm_substrings,
+                              op6_suffix_array, op7_quality_rules, op8_byte_bpe, op9_url_filters, op10_license_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.oracle_sql(), "op9_url_filters": urls.oracle_sql(),
                               "op10_license_scan": licenses.oracle_sql()}
