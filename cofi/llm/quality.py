@@ -91,7 +91,8 @@ def text_stats(text: str | None) -> tuple[int, ...]:
 
 
 def measure(docs: DataFrame, *keys: str) -> DataFrame:
-    """(doc_id, keys..., STATS..., base_failed) per row of ``docs``, texts read whole."""
+    """(doc_id, keys..., STATS..., base_failed) per row of ``docs``, texts read whole; a key ``row``
+    holds the whole row."""
     x = text_rows(docs, *keys)
     names = [c.split()[0] for c in STATS.split(", ")]
 
@@ -163,7 +164,13 @@ def thresholds(stats: DataFrame, min_docs: int = MIN_DOCS, fence: float = FENCE)
 def judge(docs: DataFrame, min_docs: int = MIN_DOCS, fence: float = FENCE) -> DataFrame:
     """(doc_id, lang, source, STATS..., base_failed, kept) per row of ``docs``."""
     stats = materialize(measure(docs, "lang", "source"), "quality-stats")
-    limits = thresholds(stats, min_docs, fence).withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    return decide(stats, thresholds(stats, min_docs, fence))
+
+
+def decide(stats: DataFrame, limits: DataFrame) -> DataFrame:
+    """``stats`` with ``kept``: joined with the thresholds of its group, a table of a row per language
+    and source."""
+    limits = limits.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     own = shares()
     inside = F.lit(True)
     for m, (_, low_too) in MEASURES.items():
@@ -176,7 +183,10 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, fence: float = FENCE) -> Da
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document passes; rows that repeat a doc_id with different
-    texts stay only if all of them pass."""
-    bad = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("bigint").eqNullSafe(F.col("bad_id")), "left_anti")
+    """The rows of ``docs`` that pass. The texts are measured a second time beside their rows, which
+    costs less than shuffling all texts to join them with a verdict by doc_id."""
+    stats = materialize(measure(docs, "lang", "source"), "quality-stats")
+    limits = materialize(thresholds(stats), "quality-thresholds")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
+        "row", *[F.col("row").getField(c).alias(c) for c in ("doc_id", "text", "lang", "source")])
+    return decide(measure(rows, "row", "lang", "source"), limits).where("kept").select("row.*")
