@@ -232,7 +232,8 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> D
     A row without a doc_id stays: no copy can name it."""
     of = materialize(groups(docs, distance, dense).select(F.col("doc_id").alias("of_id"), "component_id"),
                      "simhash-groups")
-    gone = of.where("of_id <> component_id").select("of_id").distinct()
+    # this list grows with the documents, so it is joined in the same way at every size
+    gone = of.where("of_id <> component_id").select("of_id").distinct().hint("merge")
     kept = docs.join(gone, docs["doc_id"].cast("bigint") == gone["of_id"], "left_anti")
     again = of.where("of_id = component_id").groupBy("of_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if again.isEmpty():
