@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cofi.llm.common import map_batches, pieces, text_rows
 
 STRETCH = 1 << 20  # characters after which a long text is cut at the next safe place
-MEMO = 1 << 20     # distinct matches a worker remembers
+MEMO = 1 << 18     # distinct matches a worker remembers
 
 
 def byte_characters() -> list[str]:
