@@ -1,6 +1,7 @@
 from cofi.functions.scalar import (
     RATING_HI,
     RATING_LO,
+    checked_rating,
     denormalize,
     in_range,
     mean_or_zero,
@@ -14,6 +15,6 @@ from cofi.functions.scalar import (
 )
 
 __all__ = [
-    "RATING_HI", "RATING_LO", "scale", "normalized_deviation", "denormalize",
+    "RATING_HI", "RATING_LO", "checked_rating", "scale", "normalized_deviation", "denormalize",
     "weighted_deviation", "safe_int", "in_range", "mean_or_zero", "std_or_zero", "round_out", "round_key",
 ]

@@ -41,14 +41,24 @@ def weighted_deviation(weighted_sum, weight_sum) -> Column:
 
 
 def safe_int(s) -> Column:
-    """Integer parse that yields NULL instead of failing."""
-    return _c(s).try_cast("int")
+    """64-bit integer parse that yields NULL instead of failing."""
+    return _c(s).try_cast("bigint")
 
 
 def in_range(x, lo: float = RATING_LO, hi: float = RATING_HI) -> Column:
     return _c(x).between(lo, hi)
 
 
+def checked_rating(x, lo: float = RATING_LO, hi: float = RATING_HI) -> Column:
+    """The rating, or an error that names it: a missing one, or one outside [lo, hi], would
+    later divide by zero or bend every average of its user."""
+    x = _c(x)
+    return (F.when(x.isNull(), F.raise_error(F.lit("a rating is missing; load with null_ratings='drop' to leave it out")))
+             .when(~in_range(x, lo, hi), F.raise_error(F.concat(
+                 F.lit("rating outside the scale: "), x.cast("string"))))
+             .otherwise(x))
+
+
 def mean_or_zero(x) -> Column:
     """Aggregate: mean, 0.0 for an empty input."""
     return F.coalesce(F.avg(_c(x)), F.lit(0.0))

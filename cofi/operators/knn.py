@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from cofi.functions import round_key
 from cofi.operators import stats
-from cofi.operators.pairs import nonzero, symmetrize
-from cofi.operators.similarity import cosine_pairs
+from cofi.operators.pairs import symmetrize
+from cofi.operators.similarity import co_raters, cosine_of, cosine_pairs, lookup_pairs
 from cofi.operators.stats import n_users
 from cofi.session import materialize
+from cofi.sources.ratings import only
 
 RANK_DIGITS = 10
 BUCKETS_PER_UNIT = 64  # histogram resolution: similarity buckets of width 1/64
@@ -82,7 +83,7 @@ def knn_graph(rhat: DataFrame, k: int, n_candidates: Column, **block) -> DataFra
     The non-zero pair table is written once: the ranking and the per-user edge counts
     both read it, instead of each re-running the self-join.
     """
-    pairs = materialize(cosine_pairs(rhat, **block).where(nonzero(F.col("sim"))), "pairs")
+    pairs = materialize(cosine_pairs(rhat, **block), "pairs")
     return top_k(symmetrize(pairs), k, n_candidates)
 
 
@@ -97,9 +98,16 @@ def knn_from_ratings(train: DataFrame, k: int, n_candidates: Column | None = Non
 
 def knn_lookup(knn: DataFrame, pairs: DataFrame) -> DataFrame:
     """(u, v, sim): similarity of a pair if v is among u's k neighbours, else 0.0."""
-    g = knn.select(F.col("user_id").alias("u"), F.col("neighbor_id").alias("v"), "sim")
-    return (pairs.select("u", "v").join(g, ["u", "v"], "left")
-            .select("u", "v", F.coalesce("sim", F.lit(0.0)).alias("sim")))
+    return lookup_pairs(knn.select(F.col("user_id").alias("u"), F.col("neighbor_id").alias("v"), "sim"), pairs)
+
+
+def knn_of(train: DataFrame, users, k: int) -> tuple[DataFrame, DataFrame]:
+    """The k neighbours of the requested users (an id, a list, a DataFrame) among all users of
+    ``train``, and the per-rating table (``stats.enrich``) of everyone who shares an item
+    with them, which their predictions need. No pair of two other users is formed."""
+    enriched = materialize(stats.enrich(only(train, co_raters(train, users))), "enriched_of")
+    sims = materialize(cosine_of(enriched, users), "sims_of")
+    return top_k(sims, k, n_users(train) - 1), enriched
 
 
 def nested(knn: DataFrame) -> DataFrame:

@@ -3,15 +3,13 @@ similarity.
 
 Each unordered pair appears once per shared key (smaller side first). A key with many
 raters would make one task produce n^2 pairs, so keys are cut into blocks: a key with n
-raters gets b = ceil(n / block_rows) blocks (at most ``max_blocks``), each rater falls in
-block hash(user) mod b, and block pair (i, j), i <= j, is one join key. Work per task is then
-about (n / b)^2, while the left side is copied (b - i) times; keys under ``block_rows``
-raters keep b = 1 and are joined as they are.
+raters gets b = ceil(n / block_rows) blocks, each rater falls in block hash(user) mod b, and
+block pair (i, j), i <= j, is one join key. Work per join key is then about block_rows^2
+whatever n is, while the left side is copied (b - i) times; keys under ``block_rows`` raters
+keep b = 1 and are joined as they are.
 
-Both sides are hash-partitioned on (key, block) with the configured partition count: the
-distribution a shuffle join needs anyway, kept even when the runtime plan broadcasts one
-side, because the work of this join grows with the square of a key's raters, not with its
-input bytes (so it must not be merged into a few tasks by input size).
+The join is a sort-merge join that Spark distributes itself (no partition count is named
+here), so adaptive execution splits a partition that many block pairs meet in.
 """
 
 from __future__ import annotations
@@ -19,69 +17,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofi.functions import round_key
-
 DEFAULT_BLOCK_ROWS = 2048
-DEFAULT_MAX_BLOCKS = 256
+NOISE = 1e-12  # a sum this small against the sum of its terms' sizes is rounding error
 
 
 def co_rated_pairs(df: DataFrame, keys: list[str], value: str | None = None,
-                   carry: list[str] | None = None,
-                   block_rows: int | None = DEFAULT_BLOCK_ROWS,
-                   max_blocks: int = DEFAULT_MAX_BLOCKS) -> DataFrame:
-    """Rows (u, v, *keys, a, b[, carry_u, carry_v]) for every pair u < v sharing ``keys``.
+                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Rows (u, v, *keys, a, b) for every pair u < v sharing ``keys``.
 
-    ``df`` has ``user_id``, the key columns, optionally ``value`` and ``carry`` columns;
-    ``a`` and ``b`` are the two users' values (1.0 when ``value`` is None). Callers
-    aggregate by (u, v); Spark pipelines that partial aggregate into the join stage.
+    ``df`` has ``user_id``, the key columns and optionally ``value``; ``a`` and ``b`` are the
+    two users' values (1.0 when ``value`` is None). Callers aggregate by (u, v); Spark
+    pipelines that partial aggregate into the join stage.
     """
-    carry = carry or []
     val = F.col(value) if value else F.lit(1.0)
-    base = df.select("user_id", *keys, val.alias("_val"), *carry)
-
-    if block_rows:
-        sizes = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                 .select(*keys, F.least(F.lit(max_blocks),
-                                        F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)))
-                         .cast("int").alias("_nb")))
-        base = base.join(sizes, keys)
-        blk = F.pmod(F.xxhash64("user_id"), F.col("_nb")).cast("int")
-        base = base.withColumn("_blk", blk)
-        left = base.select(*keys, F.col("user_id").alias("_u"), F.col("_val").alias("a"),
-                           F.col("_blk").alias("_ub"),
-                           F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_vb"),
-                           *[F.col(c).alias(c + "_u") for c in carry])
-        right = base.select(*keys, F.col("user_id").alias("_v"), F.col("_val").alias("b"),
-                            F.col("_blk").alias("_vb"),
-                            *[F.col(c).alias(c + "_v") for c in carry])
-        n = _partitions(df)
-        joined = left.repartition(n, *keys, "_vb").join(right.repartition(n, *keys, "_vb"),
-                                                        keys + ["_vb"]).where(
-            (F.col("_ub") < F.col("_vb")) | (F.col("_u") < F.col("_v")))
-    else:
-        left = base.select(*keys, F.col("user_id").alias("_u"), F.col("_val").alias("a"),
-                           *[F.col(c).alias(c + "_u") for c in carry])
-        right = base.select(*keys, F.col("user_id").alias("_v"), F.col("_val").alias("b"),
-                            *[F.col(c).alias(c + "_v") for c in carry])
-        n = _partitions(df)
-        joined = (left.repartition(n, *keys).join(right.repartition(n, *keys), keys)
-                  .where(F.col("_u") < F.col("_v")))
-
+    base = df.select("user_id", *keys, val.alias("_val"))
+    sizes = base.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_nb"))
+    base = base.join(sizes, keys).withColumn("_blk", F.pmod(F.xxhash64("user_id"), F.col("_nb")).cast("int"))
+    left = base.select(*keys, F.col("user_id").alias("_u"), F.col("_val").alias("a"),
+                       F.col("_blk").alias("_ub"),
+                       F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_vb"))
+    right = base.select(*keys, F.col("user_id").alias("_v"), F.col("_val").alias("b"),
+                        F.col("_blk").alias("_vb"))
+    # merge: the output is far larger than either side, so neither is worth broadcasting
+    joined = left.hint("merge").join(right, keys + ["_vb"]).where(
+        (F.col("_ub") < F.col("_vb")) | (F.col("_u") < F.col("_v")))
     # Across blocks the pair can come out as (larger, smaller): order it.
-    u = F.least("_u", "_v").alias("u")
-    v = F.greatest("_u", "_v").alias("v")
     swap = F.col("_u") > F.col("_v")
-    carried = []
-    for c in carry:
-        carried.append(F.when(swap, F.col(c + "_v")).otherwise(F.col(c + "_u")).alias(c + "_u"))
-        carried.append(F.when(swap, F.col(c + "_u")).otherwise(F.col(c + "_v")).alias(c + "_v"))
-    a = F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a")
-    b = F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")
-    return joined.select(u, v, *keys, a, b, *carried)
+    return joined.select(F.least("_u", "_v").alias("u"), F.greatest("_u", "_v").alias("v"), *keys,
+                         F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"),
+                         F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def summed(pairs: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, sim): the sum of a * b per key, without those that are zero."""
+    return (pairs.groupBy(*keys).agg(F.sum(F.col("a") * F.col("b")).alias("sim"),
+                                     F.sum(F.abs(F.col("a") * F.col("b"))).alias("_size"))
+            .where(nonzero("sim", "_size")).select(*keys, "sim"))
 
 
 def symmetrize(pairs: DataFrame, u: str = "u", v: str = "v", cols: list[str] | None = None) -> DataFrame:
@@ -92,6 +63,7 @@ def symmetrize(pairs: DataFrame, u: str = "u", v: str = "v", cols: list[str] | N
     return pairs.select(both.alias("_e"), *cols).select("_e.u", "_e.v", *cols)
 
 
-def nonzero(x: Column, digits: int = 10) -> Column:
-    """A similarity counts as present when it is non-zero at ``digits`` decimals."""
-    return round_key(x, digits) != 0
+def nonzero(total, size) -> Column:
+    """Whether a sum of products is more than the rounding error of its terms; ``size`` is
+    the sum of their absolute values."""
+    return F.abs(total) > F.lit(NOISE) * F.col(size)

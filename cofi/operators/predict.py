@@ -40,22 +40,24 @@ def pred_item(train: DataFrame, test: DataFrame) -> DataFrame:
     return _out(t, F.coalesce("item_avg", global_avg(train)))
 
 
-def pred_baseline(train: DataFrame, test: DataFrame, dev: DataFrame) -> DataFrame:
+def pred_baseline(train: DataFrame, test: DataFrame, dev: DataFrame,
+                  averages: DataFrame | None = None) -> DataFrame:
     """User average moved by the item's average normalized deviation."""
-    ua = user_avg(train).select("user_id", "user_avg")
+    ua = (user_avg(train) if averages is None else averages).select("user_id", "user_avg")
     idv = item_dev(dev).select("item_id", F.col("dev").alias("idev"))
     t = _test_cols(test).join(ua, "user_id", "left").join(idv, "item_id", "left")
     avg = F.coalesce("user_avg", global_avg(train))
     return _out(t, F.when(F.col("idev").isNull(), avg).otherwise(denormalize(avg, "idev")))
 
 
-def pred_uniform(train: DataFrame, test: DataFrame, dev: DataFrame) -> DataFrame:
+def pred_uniform(train: DataFrame, test: DataFrame, dev: DataFrame,
+                 averages: DataFrame | None = None) -> DataFrame:
     """Every other rater of the item weighs 1: the mean deviation of the other raters.
 
     Computed from per-item sums minus the user's own rating of the item (if any), so no
     pair is ever formed. A user absent from train has no neighbours.
     """
-    ua = user_avg(train).select("user_id", "user_avg")
+    ua = (user_avg(train) if averages is None else averages).select("user_id", "user_avg")
     sums = dev.groupBy("item_id").agg(F.sum("dev").alias("_s"), F.count(F.lit(1)).alias("_n"))
     own = dev.select("user_id", "item_id", F.col("dev").alias("_own"))
     t = (_test_cols(test).join(ua, "user_id", "left").join(sums, "item_id", "left")
@@ -66,6 +68,18 @@ def pred_uniform(train: DataFrame, test: DataFrame, dev: DataFrame) -> DataFrame
     return _out(t, denormalize(F.coalesce("user_avg", global_avg(train)), d))
 
 
+def rater_sums(test: DataFrame, edges: DataFrame, dev: DataFrame) -> DataFrame:
+    """As ``neighbour_sums``, for users with very many neighbours: the test pairs meet the raters
+    of their item first, then the edge of each (user, rater). A user has far more neighbours
+    in such a graph than an item has raters; a popular item's rows are split by adaptive
+    execution."""
+    d = dev.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
+    return (test.select("user_id", "item_id").join(d, "item_id")
+            .join(edges.select("user_id", "neighbor_id", "sim"), ["user_id", "neighbor_id"])
+            .groupBy("user_id", "item_id")
+            .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
+
+
 def neighbour_sums(test: DataFrame, edges: DataFrame, dev: DataFrame) -> DataFrame:
     """(user_id, item_id, num, den): sum(s * dev_v,i) and sum(|s|) over the user's
     neighbours v who rated the item.
@@ -83,11 +97,14 @@ def neighbour_sums(test: DataFrame, edges: DataFrame, dev: DataFrame) -> DataFra
                  F.sum(F.abs("sim")).alias("den")))
 
 
-def pred_weighted(train: DataFrame, test: DataFrame, dev: DataFrame, edges: DataFrame) -> DataFrame:
-    """Similarity-weighted prediction over ``edges`` (user_id, neighbor_id, sim)."""
-    ua = user_avg(train).select("user_id", "user_avg")
+def pred_weighted(train: DataFrame, test: DataFrame, dev: DataFrame, edges: DataFrame,
+                  all_neighbours: bool = False, averages: DataFrame | None = None) -> DataFrame:
+    """Similarity-weighted prediction over ``edges`` (user_id, neighbor_id, sim); with
+    ``all_neighbours`` through ``rater_sums``. ``averages`` (user_id, user_avg) of the test's
+    users, if they are known already."""
+    ua = (user_avg(train) if averages is None else averages).select("user_id", "user_avg")
     t = _test_cols(test)
-    sums = neighbour_sums(t, edges, dev)
+    sums = (rater_sums if all_neighbours else neighbour_sums)(t, edges, dev)
     j = t.join(sums, ["user_id", "item_id"], "left").join(ua, "user_id", "left")
     avg = F.coalesce("user_avg", global_avg(train))
     return _out(j, denormalize(avg, weighted_deviation("num", "den")))

@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofi.operators.pairs import co_rated_pairs, nonzero, symmetrize
+from cofi.operators.pairs import co_rated_pairs, summed, symmetrize
+from cofi.sources.ratings import only
 
 
 def cosine_pairs(rhat: DataFrame, **block) -> DataFrame:
-    """(u, v, sim), u < v, for every co-rated pair: sum over common items of rhat_u * rhat_v."""
-    return (co_rated_pairs(rhat, ["item_id"], "rhat", **block)
-            .groupBy("u", "v").agg(F.sum(F.col("a") * F.col("b")).alias("sim")))
+    """(u, v, sim), u < v, for every co-rated pair whose sum over common items of
+    rhat_u * rhat_v is not zero."""
+    return summed(co_rated_pairs(rhat, ["item_id"], "rhat", **block), "u", "v")
 
 
 def cosine_edges(rhat: DataFrame, **block) -> DataFrame:
     """(u, v, sim) in both directions, non-zero similarities only."""
-    p = cosine_pairs(rhat, **block)
-    return symmetrize(p.where(nonzero(F.col("sim"))))
+    return symmetrize(cosine_pairs(rhat, **block))
 
 
 def jaccard_pairs(train: DataFrame, **block) -> DataFrame:
@@ -32,6 +32,10 @@ def jaccard_pairs(train: DataFrame, **block) -> DataFrame:
     """
     common = (co_rated_pairs(train.select("user_id", "item_id"), ["item_id"], None, **block)
               .groupBy("u", "v").agg(F.count(F.lit(1)).alias("c")))
+    return _jaccard(common, train)
+
+
+def _jaccard(common: DataFrame, train: DataFrame) -> DataFrame:
     cnt = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     cu = cnt.select(F.col("user_id").alias("u"), F.col("n").alias("nu"))
     cv = cnt.select(F.col("user_id").alias("v"), F.col("n").alias("nv"))
@@ -40,21 +44,39 @@ def jaccard_pairs(train: DataFrame, **block) -> DataFrame:
 
 
 def jaccard_edges(train: DataFrame, **block) -> DataFrame:
-    return symmetrize(jaccard_pairs(train, **block).where(nonzero(F.col("sim"))))
+    return symmetrize(jaccard_pairs(train, **block))
 
 
-def sim_one_user(rhat: DataFrame, user) -> DataFrame:
-    """(u, v, sim) of one user against every co-rated user: one row of R * R^T.
+# Requests first: similarities of given users (an id, a list, a DataFrame) against the others.
+# Only the users who share an item with them are read, and only rows of requested users are formed.
 
-    Only the items the user rated are scanned on the other side (a join on item_id with
-    the user's few rows), not the whole pair table.
-    """
-    me = rhat.where(F.col("user_id") == F.lit(user)).select("item_id", F.col("rhat").alias("a"))
-    others = rhat.where(F.col("user_id") != F.lit(user)).select(
-        F.col("user_id").alias("v"), "item_id", F.col("rhat").alias("b"))
-    return (others.join(me, "item_id")
-            .groupBy("v").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
-            .select(F.lit(user).cast("bigint").alias("u"), "v", "sim"))
+def co_raters(train: DataFrame, users) -> DataFrame:
+    """(user_id): the requested users and everyone who rated an item of theirs."""
+    items = only(train, users).select("item_id").distinct()
+    return train.join(items, "item_id", "left_semi").select("user_id").distinct()
+
+
+def _rows_of(table: DataFrame, users, value: str | None) -> DataFrame:
+    """(u, v, a, b) per item that a requested user u shares with another user v."""
+    val = F.col(value) if value else F.lit(1.0)
+    mine = only(table, users).select(F.col("user_id").alias("u"), "item_id", val.alias("a"))
+    others = table.select(F.col("user_id").alias("v"), "item_id", val.alias("b"))
+    return others.join(mine, "item_id").where("u <> v")
+
+
+def cosine_of(rhat: DataFrame, users) -> DataFrame:
+    """(u, v, sim), non-zero, for each requested user u."""
+    return summed(_rows_of(rhat, users, "rhat"), "u", "v")
+
+
+def jaccard_of(train: DataFrame, users) -> DataFrame:
+    """(u, v, sim) for each requested user u."""
+    return _jaccard(_rows_of(train, users, None).groupBy("u", "v").agg(F.count(F.lit(1)).alias("c")), train)
+
+
+def sim_one_user(rhat: DataFrame, user: int) -> DataFrame:
+    """(u, v, sim) of one user against every co-rated user, zeros too: one row of R * R^T."""
+    return _rows_of(rhat, user, "rhat").groupBy("u", "v").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
 
 
 def sim_cosine_pair(rhat: DataFrame, u, v) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cofi.functions import mean_or_zero, normalized_deviation
+from cofi.sources.ratings import only
 
 
 def global_avg(train: DataFrame) -> Column:
@@ -77,6 +78,12 @@ def item_dev_point(dev: DataFrame, item) -> DataFrame:
             .select(F.lit(item).cast("bigint").alias("item_id"), "dev"))
 
 
+def dev_of_item(train: DataFrame, item: int) -> DataFrame:
+    """``norm_dev`` of one item's ratings: only its raters' rows are averaged."""
+    raters = train.where(F.col("item_id") == F.lit(item)).select("user_id")
+    return norm_dev(only(train, raters)).where(F.col("item_id") == F.lit(item))
+
+
 def user_norm(dev: DataFrame) -> DataFrame:
     """(user_id, norm) = sqrt(sum(dev^2)) per user."""
     return dev.groupBy("user_id").agg(F.sqrt(F.sum(F.col("dev") * F.col("dev"))).alias("norm"))

@@ -8,26 +8,32 @@ computed column is rounded to 6 decimals so both engines agree on the digits.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cofi.functions import round_out
 from cofi.operators import approx, knn as knn_ops, metrics, predict, recommend, similarity, stats
-from cofi.operators.pairs import nonzero
 from cofi.plans import oracle as O
+from cofi.session import materialize, table_path
 from cofi.sources import (
+    append_user,
     events_ratings,
+    expect_rows,
+    load_personal_csv,
+    load_ratings,
+    load_ratings_text,
+    only,
     orders_ratings,
     parse_rating_lines,
     personal_from_parts,
     personal_ratings,
+    rated_pairs,
     rating_lines_from,
     split_train_test,
 )
-from cofi.session import materialize
-from cofi.sources.ratings import append_user
-from cofi.sources.sinks import answers_table, nested_answers, run_metadata
+from cofi.sources.sinks import answers_table, nested_answers, run_parameters
 
 D = 6  # output decimals
 
@@ -35,12 +41,13 @@ D = 6  # output decimals
 K = 10
 K_LARGE = 400
 K_SWEEP = 300
-K_LIST = [10, 30, 50, 100, 149]
+K_LIST = [10, 30, 50, 100, 200, 300, 400, 800, 943]
 PARTITIONS = 10
 REPLICATION = 2
 REPLICATIONS = [1, 2, 3, 4, 6, 8]
 TOP_N = 3
 USER, USER2, ITEM = 1, 2, 1
+N_USERS, N_ITEMS, NEW_USER = 100, 150, 944
 
 
 def R(c) -> F.Column:
@@ -50,35 +57,47 @@ def R(c) -> F.Column:
 class Fixture:
     """Train / test and the derived tables of one fixture.
 
-    The derived ratings and the per-rating table (averages, deviations, rhat) are each
-    written once to the checkpoint folder: many branches of a query read them.
+    Nothing runs when it is built. With ``shared`` (several branches of the query read the
+    ratings) the derived ratings are written once to the checkpoint folder at first use; without,
+    a query's filters reach the source scan. Deviations and preprocessed ratings are tables
+    of their own, each written at first use.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, fix: str):
-        self.spark, self.sf_dir, self.fix = spark, sf_dir, fix
-        raw = orders_ratings(spark, sf_dir) if fix == "o" else events_ratings(spark, sf_dir)
-        self.ratings = materialize(raw, f"ratings_{fix}")
-        self.train, self.test = split_train_test(self.ratings)
-        self._enriched = None
+    def __init__(self, spark: SparkSession, sf_dir: str, fix: str, shared: bool = False):
+        self.spark, self.sf_dir, self.fix, self.shared = spark, sf_dir, fix, shared
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        raw = orders_ratings(self.spark, self.sf_dir) if self.fix == "o" else events_ratings(self.spark, self.sf_dir)
+        return materialize(raw, f"ratings_{self.fix}") if self.shared else raw
 
     @property
-    def enriched(self) -> DataFrame:
-        if self._enriched is None:
-            self._enriched = materialize(stats.enrich(self.train), f"enriched_{self.fix}")
-        return self._enriched
+    def train(self) -> DataFrame:
+        return split_train_test(self.ratings)[0]
 
     @property
+    def test(self) -> DataFrame:
+        return split_train_test(self.ratings)[1]
+
+    @cached_property
     def dev(self) -> DataFrame:
-        return self.enriched.select("user_id", "item_id", "rating", "user_avg", "dev")
+        dev = stats.norm_dev(self.train)
+        return materialize(dev, f"dev_{self.fix}") if self.shared else dev
 
-    @property
+    @cached_property
     def rhat(self) -> DataFrame:
-        return self.enriched.select("user_id", "item_id", "dev", "rhat")
+        rhat = stats.preprocessed(self.dev)
+        return materialize(rhat, f"rhat_{self.fix}") if self.shared else rhat
 
     @property
     def users(self) -> DataFrame:
         return self.train.select("user_id").distinct()
 
+    @property
+    def averages(self) -> DataFrame:
+        """(user_id, user_avg), which the deviations carry."""
+        return self.dev.groupBy("user_id").agg(F.max("user_avg").alias("user_avg"))
+
     def cosine_edges(self) -> DataFrame:
         return similarity.cosine_edges(self.rhat)
 
@@ -88,6 +107,9 @@ class Fixture:
     def weights(self, edges: DataFrame) -> DataFrame:
         return edges.select(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"), "sim")
 
+    def predict(self, edges: DataFrame, **how) -> DataFrame:
+        return predict.pred_weighted(self.train, self.test, self.dev, edges, averages=self.averages, **how)
+
 
 def _preds_out(p: DataFrame) -> DataFrame:
     return p.select("user_id", "item_id", "rating", R("prediction").alias("prediction"))
@@ -151,7 +173,7 @@ def q_item_avg_point(spark, sf):
 
 
 def q_rating_or_user_avg(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    fx = Fixture(spark, sf, "e", shared=True)
     return stats.rating_or_user_avg(fx.train, fx.ratings).select(
         "user_id", "item_id", R("value").alias("value"))
 
@@ -165,7 +187,7 @@ def q_item_dev(spark, sf):
 
 
 def q_item_dev_point(spark, sf):
-    return stats.item_dev_point(Fixture(spark, sf, "o").dev, ITEM).select(
+    return stats.item_dev_point(stats.dev_of_item(Fixture(spark, sf, "o").train, ITEM), ITEM).select(
         "item_id", R("dev").alias("dev"))
 
 
@@ -186,7 +208,7 @@ def q_user_items(spark, sf):
 
 
 def q_metric_mean_std(spark, sf):
-    tr = Fixture(spark, sf, "o").train
+    tr = Fixture(spark, sf, "o", shared=True).train
     return metrics.mean_std({
         "rating": tr.select(F.col("rating").alias("x")),
         "user_avg": stats.user_avg(tr).select(F.col("user_avg").alias("x")),
@@ -201,98 +223,109 @@ def _baseline_preds(fx: Fixture) -> dict[str, DataFrame]:
         "global": predict.pred_global(fx.train, fx.test),
         "user": predict.pred_user(fx.train, fx.test),
         "item": predict.pred_item(fx.train, fx.test),
-        "baseline": predict.pred_baseline(fx.train, fx.test, fx.dev),
+        "baseline": predict.pred_baseline(fx.train, fx.test, fx.dev, fx.averages),
     }
 
 
 def q_pred_global(spark, sf):
-    fx = Fixture(spark, sf, "o")
+    fx = Fixture(spark, sf, "o", shared=True)
     return _preds_out(predict.pred_global(fx.train, fx.test))
 
 
 def q_pred_user(spark, sf):
-    fx = Fixture(spark, sf, "o")
+    fx = Fixture(spark, sf, "o", shared=True)
     return _preds_out(predict.pred_user(fx.train, fx.test))
 
 
 def q_pred_item(spark, sf):
-    fx = Fixture(spark, sf, "o")
+    fx = Fixture(spark, sf, "o", shared=True)
     return _preds_out(predict.pred_item(fx.train, fx.test))
 
 
 def q_pred_baseline(spark, sf):
-    fx = Fixture(spark, sf, "o")
-    return _preds_out(predict.pred_baseline(fx.train, fx.test, fx.dev))
+    fx = Fixture(spark, sf, "o", shared=True)
+    return _preds_out(predict.pred_baseline(fx.train, fx.test, fx.dev, fx.averages))
 
 
 def q_pred_baseline_point(spark, sf):
     fx = Fixture(spark, sf, "o")
-    p = predict.pred_baseline(fx.train, predict.point(spark, USER, ITEM), fx.dev)
+    p = predict.pred_baseline(fx.train, predict.point(spark, USER, ITEM), stats.dev_of_item(fx.train, ITEM),
+                              stats.user_avg(only(fx.train, USER)))
     return p.select("user_id", "item_id", R("prediction").alias("prediction"))
 
 
 def q_mae_nonpersonalized(spark, sf):
-    return metrics.mae_by_method(_baseline_preds(Fixture(spark, sf, "o"))).select(
+    return metrics.mae_by_method(_baseline_preds(Fixture(spark, sf, "o", shared=True))).select(
         "method", R("mae").alias("mae"))
 
 
 def q_out_of_range_predictions(spark, sf):
-    return metrics.out_of_range(_baseline_preds(Fixture(spark, sf, "o")))
+    return metrics.out_of_range(_baseline_preds(Fixture(spark, sf, "o", shared=True)))
 
 
 # ----------------------------------------------------------------------------- similarities
 
 def q_sim_cosine(spark, sf):
-    return _edges_out(Fixture(spark, sf, "o").cosine_edges())
+    return _edges_out(Fixture(spark, sf, "o", shared=True).cosine_edges())
 
 
 def q_sim_cosine_pair(spark, sf):
-    return _edges_out(similarity.sim_cosine_pair(Fixture(spark, sf, "e").rhat, USER, USER2))
+    return _edges_out(similarity.sim_cosine_pair(
+        stats.enrich(only(Fixture(spark, sf, "e").train, [USER, USER2])), USER, USER2))
 
 
 def q_sim_one_user(spark, sf):
-    return _edges_out(similarity.sim_one_user(Fixture(spark, sf, "e").rhat, USER))
+    train = Fixture(spark, sf, "e").train
+    near = materialize(stats.enrich(only(train, similarity.co_raters(train, USER))), "near")
+    return _edges_out(similarity.sim_one_user(near, USER))
 
 
 def q_sim_jaccard(spark, sf):
-    return _edges_out(similarity.jaccard_edges(Fixture(spark, sf, "e").train))
+    return _edges_out(similarity.jaccard_edges(Fixture(spark, sf, "e", shared=True).train))
 
 
 def q_sim_jaccard_pair(spark, sf):
     return _edges_out(similarity.sim_jaccard_pair(Fixture(spark, sf, "e").train, USER, USER2))
 
 
-def _personal_preds(fx: Fixture, test: DataFrame) -> dict[str, DataFrame]:
+def _personal_preds(fx: Fixture) -> dict[str, DataFrame]:
     return {
-        "uniform": predict.pred_uniform(fx.train, test, fx.dev),
-        "cosine": predict.pred_weighted(fx.train, test, fx.dev, fx.weights(fx.cosine_edges())),
-        "jaccard": predict.pred_weighted(fx.train, test, fx.dev,
-                                         fx.weights(similarity.jaccard_edges(fx.train))),
+        "uniform": predict.pred_uniform(fx.train, fx.test, fx.dev, fx.averages),
+        "cosine": fx.predict(fx.weights(fx.cosine_edges()), all_neighbours=True),
+        "jaccard": fx.predict(fx.weights(similarity.jaccard_edges(fx.train)), all_neighbours=True),
     }
 
 
 def q_pred_uniform(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    return _preds_out(predict.pred_uniform(fx.train, fx.test, fx.dev))
+    fx = Fixture(spark, sf, "e", shared=True)
+    return _preds_out(predict.pred_uniform(fx.train, fx.test, fx.dev, fx.averages))
 
 
 def q_pred_cosine(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    return _preds_out(predict.pred_weighted(fx.train, fx.test, fx.dev, fx.weights(fx.cosine_edges())))
+    fx = Fixture(spark, sf, "e", shared=True)
+    return _preds_out(fx.predict(fx.weights(fx.cosine_edges()), all_neighbours=True))
 
 
 def q_pred_jaccard(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    w = fx.weights(similarity.jaccard_edges(fx.train))
-    return _preds_out(predict.pred_weighted(fx.train, fx.test, fx.dev, w))
+    fx = Fixture(spark, sf, "e", shared=True)
+    return _preds_out(fx.predict(fx.weights(similarity.jaccard_edges(fx.train)), all_neighbours=True))
 
 
 def q_pred_points(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    """Every predictor for one request: only the rows of users who share an item with the user."""
+    fx = Fixture(spark, sf, "e", shared=True)
     pt = predict.point(spark, USER, ITEM)
-    preds = _personal_preds(fx, pt)
-    preds["baseline"] = predict.pred_baseline(fx.train, pt, fx.dev)
-    preds["knn"] = predict.pred_weighted(fx.train, pt, fx.dev, knn_ops.as_edges(fx.knn(K)))
+    graph, near = knn_ops.knn_of(fx.train, USER, K)
+    own = stats.user_avg(only(fx.train, USER))
+    of_item = materialize(stats.dev_of_item(fx.train, ITEM), "dev_of_item")
+    one = lambda edges: predict.pred_weighted(fx.train, pt, near, edges, averages=own)
+    preds = {
+        "uniform": predict.pred_uniform(fx.train, pt, of_item, own),
+        "cosine": one(fx.weights(similarity.cosine_of(near, USER))),
+        "jaccard": one(fx.weights(similarity.jaccard_of(near, USER))),
+        "baseline": predict.pred_baseline(fx.train, pt, of_item, own),
+        "knn": one(knn_ops.as_edges(graph)),
+    }
     out = None
     for name, p in preds.items():
         part = p.select(F.lit(name).alias("method"), "user_id", "item_id",
@@ -302,40 +335,41 @@ def q_pred_points(spark, sf):
 
 
 def q_mae_personalized(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    return metrics.mae_by_method(_personal_preds(fx, fx.test)).select("method", R("mae").alias("mae"))
+    fx = Fixture(spark, sf, "e", shared=True)
+    return metrics.mae_by_method(_personal_preds(fx)).select("method", R("mae").alias("mae"))
 
 
 # ----------------------------------------------------------------------------- kNN
 
 def q_knn_graph(spark, sf):
-    return _graph_out(Fixture(spark, sf, "o").knn(K))
+    return _graph_out(Fixture(spark, sf, "o", shared=True).knn(K))
 
 
 def q_knn_graph_k400(spark, sf):
-    return _graph_out(Fixture(spark, sf, "o").knn(K_LARGE))
+    return _graph_out(Fixture(spark, sf, "o", shared=True).knn(K_LARGE))
 
 
 def q_knn_pair_lookup(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    fx = Fixture(spark, sf, "e", shared=True)
     pairs = fx.users.select(F.lit(USER).cast("bigint").alias("u"), F.col("user_id").alias("v"))
-    return _edges_out(knn_ops.knn_lookup(fx.knn(K), pairs))
+    return _edges_out(knn_ops.knn_lookup(knn_ops.knn_of(fx.train, USER, K)[0], pairs))
 
 
 def q_pred_knn(spark, sf):
-    fx = Fixture(spark, sf, "o")
-    return _preds_out(predict.pred_weighted(fx.train, fx.test, fx.dev, knn_ops.as_edges(fx.knn(K))))
+    fx = Fixture(spark, sf, "o", shared=True)
+    return _preds_out(fx.predict(knn_ops.as_edges(fx.knn(K))))
 
 
 def q_pred_knn_point(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    p = predict.pred_weighted(fx.train, predict.point(spark, USER, ITEM), fx.dev,
-                              knn_ops.as_edges(fx.knn(K)))
+    fx = Fixture(spark, sf, "e", shared=True)
+    graph, near = knn_ops.knn_of(fx.train, USER, K)
+    p = predict.pred_weighted(fx.train, predict.point(spark, USER, ITEM), near, knn_ops.as_edges(graph),
+                              averages=stats.user_avg(only(fx.train, USER)))
     return p.select("user_id", "item_id", R("prediction").alias("prediction"))
 
 
 def q_mae_knn_by_k(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    fx = Fixture(spark, sf, "e", shared=True)
     return metrics_by_k(fx, K_LIST)
 
 
@@ -356,23 +390,22 @@ def q_unseen_items(spark, sf):
 
 
 def q_recommend_user(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    return recommend.recommend_user(fx.train, fx.dev, USER, K, TOP_N)
+    fx = Fixture(spark, sf, "e", shared=True)
+    return recommend.recommend_user(fx.train, USER, K, TOP_N)
 
 
 def q_recommend_all(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    fx = Fixture(spark, sf, "e", shared=True)
     return recommend.recommend_all(fx.train, fx.dev, knn_ops.as_edges(fx.knn(K)), TOP_N)
 
 
 def q_recommend_new_user(spark, sf):
-    r = orders_ratings(spark, sf)
-    uid = r.select(F.max("user_id") + 1).scalar()
+    r = materialize(orders_ratings(spark, sf), "ratings_o")
+    uid = r.agg(F.max("user_id")).first()[0] + 1
     personal = personal_from_parts(spark, sf)
-    mine = personal_ratings(personal, uid)
-    data = materialize(append_user(r, mine), "ratings_new_user")
-    dev = materialize(stats.enrich(data), "enriched_new_user")
-    rec = recommend.recommend_user(data, dev, uid, K_SWEEP, TOP_N)
+    # the other users' rows do not change: those who share an item with the new user are read
+    data = append_user(r, personal_ratings(personal, uid))
+    rec = recommend.recommend_user(data, uid, K_SWEEP, TOP_N)
     titles = personal.select(F.col("id").alias("item_id"), "title")
     return rec.join(titles, "item_id", "left").select("rank", "item_id", "title", "prediction")
 
@@ -384,19 +417,19 @@ def q_user_bins(spark, sf):
 
 
 def q_knn_approx(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    fx = Fixture(spark, sf, "e", shared=True)
     return _graph_out(approx.knn_approx(fx.rhat, fx.users, K, PARTITIONS, REPLICATION))
 
 
 def q_pred_knn_approx(spark, sf):
-    fx = Fixture(spark, sf, "e")
+    fx = Fixture(spark, sf, "e", shared=True)
     g = approx.knn_approx(fx.rhat, fx.users, K, PARTITIONS, REPLICATION)
-    return _preds_out(predict.pred_weighted(fx.train, fx.test, fx.dev, knn_ops.as_edges(g)))
+    return _preds_out(fx.predict(knn_ops.as_edges(g)))
 
 
 def q_mae_by_replication(spark, sf):
-    fx = Fixture(spark, sf, "e")
-    pairs = materialize(similarity.cosine_pairs(fx.rhat).where(nonzero(F.col("sim"))), "pairs_e")
+    fx = Fixture(spark, sf, "e", shared=True)
+    pairs = materialize(similarity.cosine_pairs(fx.rhat), "pairs_e")
     g = approx.replication_sweep_graph(pairs, fx.users, K_SWEEP, PARTITIONS, REPLICATIONS)
     p = predict.pred_weighted_per(fx.train, fx.test, fx.dev, g, "replication", REPLICATIONS)
     return p.groupBy("replication").agg(
@@ -406,20 +439,53 @@ def q_mae_by_replication(spark, sf):
 # ----------------------------------------------------------------------------- report
 
 def q_answers_json(spark, sf):
-    fx = Fixture(spark, sf, "o")
-    base = metrics.mae_by_method(_baseline_preds(fx)).select(
-        F.lit("B.2").alias("section"), F.col("method").alias("metric"), F.col("mae").alias("value"))
-    g = stats.global_stats(fx.train).select(
-        F.lit("B.1").alias("section"), F.lit("global_avg").alias("metric"),
-        F.col("global_avg").alias("value"))
-    kn = metrics.mae(predict.pred_weighted(fx.train, fx.test, fx.dev, knn_ops.as_edges(fx.knn(K))))
-    kn = kn.select(F.lit("N.1").alias("section"), F.lit(f"mae_k{K}").alias("metric"),
-                   F.col("mae").alias("value"))
-    nested = nested_answers(answers_table(g, base, kn))
-    meta = run_metadata(spark, sf=sf, k=K, partitions=PARTITIONS, replication=REPLICATION)
-    meta_json = meta.groupBy("section").agg(F.to_json(F.map_from_entries(
-        F.sort_array(F.collect_list(F.struct("metric", "value"))))).alias("json"))
-    return nested.unionByName(meta_json)
+    """One JSON object per section; numbers as text with six decimals, the same in any engine.
+    The report refuses to run on a ratings table that lost rows: their number must be that of
+    the (customer, part) pairs of the sources."""
+    fx = Fixture(spark, sf, "o", shared=True)
+    train, _ = split_train_test(expect_rows(fx.ratings, rated_pairs(spark, sf)))
+    part = lambda section, df, metric, value: df.select(
+        F.lit(section).alias("section"), metric.alias("metric"), R(value).alias("value"))
+    base = part("B.2", metrics.mae_by_method(_baseline_preds(fx)), F.col("method"), "mae")
+    g = part("B.1", stats.global_stats(train), F.lit("global_avg"), "global_avg")
+    kn = part("N.1", metrics.mae(fx.predict(knn_ops.as_edges(fx.knn(K)))), F.lit(f"mae_k{K}"), "mae")
+    return nested_answers(answers_table(g, base, kn), decimals=D).unionByName(
+        nested_answers(run_parameters(spark, k=K, partitions=PARTITIONS, replication=REPLICATION)))
+
+
+# ----------------------------------------------------------------------------- loaders
+
+def _written(df: DataFrame, name: str, fmt: str) -> str:
+    """``df`` as files of a fixture in the shared folder: what a loader then reads."""
+    path = table_path(df.sparkSession, name)
+    if fmt == "csv":
+        df.write.option("header", "true").csv(path)
+    else:
+        df.write.text(path)
+    return path
+
+
+def _rating_file(spark, sf, sep: str) -> str:
+    lines = rating_lines_from(orders_ratings(spark, sf), sep)
+    header = spark.range(1).select(F.lit(f"user{sep}item{sep}rating").alias("value"))
+    return _written(lines.unionByName(header), "rating_lines", "text")
+
+
+def q_load_text_tab(spark, sf):
+    return load_ratings_text(spark, _rating_file(spark, sf, "\t"))
+
+
+def q_load_text_colons(spark, sf):
+    return load_ratings(spark, _rating_file(spark, sf, "::"), "text", "::")
+
+
+def q_load_text_dimensions(spark, sf):
+    return load_ratings_text(spark, _rating_file(spark, sf, "\t"), n_users=N_USERS, n_items=N_ITEMS)
+
+
+def q_load_personal_csv(spark, sf):
+    path = _written(personal_from_parts(spark, sf), "personal", "csv")
+    return personal_ratings(load_personal_csv(spark, path), NEW_USER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -548,6 +614,21 @@ def _sql() -> dict[str, str]:
     q["pred_knn_point"] = _q("e", [f"pt AS {_POINT}"] + O.knn("kg", "cedges", K)
                              + O.weighted("p_knn", O.edges_of("kg"), "pt"),
                              f"SELECT user_id, item_id, RD(prediction) AS prediction FROM p_knn")
+    meta = {"k": K, "partitions": PARTITIONS, "replication": REPLICATION}
+    text6 = lambda x: f"CAST(CAST({x} AS DECIMAL(18,6)) AS VARCHAR)"
+    q["answers_json"] = _q("o", O.simple_preds() + O.knn("kg", "cedges", K) + O.weighted("p_knn", O.edges_of("kg")) + [
+        f"mm AS ({_mae_union(['global', 'user', 'item', 'baseline'])})",
+        f"""ans AS (SELECT 'B.1' AS section, 'global_avg' AS metric, {text6("RD((SELECT g FROM g))")} AS value
+            UNION ALL SELECT 'B.2', method, {text6("mae")} FROM mm
+            UNION ALL SELECT 'N.1', 'mae_k{K}', {text6("(SELECT RD(AVG(ABS(rating - prediction))) FROM p_knn)")}
+            {" ".join(f"UNION ALL SELECT 'Meta', '{k}', '{v}'" for k, v in meta.items())})"""],
+        """SELECT section, '{' || string_agg('"' || metric || '":"' || value || '"', ',' ORDER BY metric) || '}' AS json
+           FROM ans GROUP BY section""")
+    q["load_text_tab"] = q["load_text_colons"] = O.ORDERS
+    q["load_text_dimensions"] = f"""SELECT * FROM ({O.ORDERS}) WHERE user_id BETWEEN 1 AND {N_USERS}
+        AND item_id BETWEEN 1 AND {N_ITEMS}"""
+    q["load_personal_csv"] = f"""SELECT CAST({NEW_USER} AS BIGINT) AS user_id, p_partkey AS item_id, p_name AS title,
+        CAST(1 + p_partkey % 5 AS DOUBLE) AS rating FROM part WHERE p_partkey % 10 = 0"""
     ks = " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS k" for k in K_LIST)
     avg = "COALESCE(ua.user_avg, (SELECT g FROM g))"
     dd = "COALESCE(s.num / NULLIF(s.den, 0), 0.0)"
@@ -568,8 +649,9 @@ def _sql() -> dict[str, str]:
         [f"""cand AS (SELECT CAST({uid} AS BIGINT) AS user_id, item_id, CAST(NULL AS DOUBLE) AS rating
                FROM (SELECT DISTINCT item_id FROM train)
                WHERE item_id NOT IN (SELECT item_id FROM train WHERE user_id = {uid}))""",
-         f"e1 AS (SELECT u, v, sim FROM {edges_src} WHERE u = {uid})"]
-        + O.knn("g1", "e1", k) + O.weighted("pc", O.edges_of("g1"), "cand")
+         f"e1 AS (SELECT u, v, sim FROM {edges_src} WHERE u = {uid})",
+         f"c1 AS (SELECT {uid} AS u, user_id AS v FROM (SELECT DISTINCT user_id FROM train) WHERE user_id <> {uid})"]
+        + O.knn("g1", "e1", k, "c1") + O.weighted("pc", O.edges_of("g1"), "cand")
         + [f"""top AS (SELECT user_id, item_id, RD(prediction) AS prediction,
                ROW_NUMBER() OVER (ORDER BY RD(prediction) DESC, item_id) AS rank FROM pc)"""])
     q["recommend_all"] = _q("e", O.knn("kg", "cedges", K) + [
@@ -584,12 +666,9 @@ def _sql() -> dict[str, str]:
                              f"SELECT user_id, rank, item_id, prediction FROM top WHERE rank <= {TOP_N}")
     q["recommend_new_user"] = O.with_(
         [f"r0 AS ({O.ORDERS})",
-         "r AS (SELECT user_id, item_id, rating FROM r0)",
          f"""mine AS (SELECT (SELECT MAX(user_id) + 1 FROM r0) AS user_id, p_partkey AS item_id,
                CAST(1 + p_partkey % 5 AS DOUBLE) AS rating FROM part WHERE p_partkey % 10 = 0)"""]
-        + [c.replace("FROM r WHERE (user_id * 31 + item_id * 17) % 5 <> 0",
-                     "FROM (SELECT * FROM r0 UNION ALL SELECT * FROM mine)")
-           for c in O.base("o")[1:]]
+        + O.base("o", train="SELECT * FROM r0 UNION ALL SELECT * FROM mine")
         + rec("(SELECT MAX(user_id) FROM mine)", K_SWEEP, "cedges"),
         f"""SELECT t.rank, t.item_id, p.p_name AS title, t.prediction FROM top t
             LEFT JOIN part p ON p.p_partkey = t.item_id WHERE t.rank <= {TOP_N}""")

@@ -31,11 +31,11 @@ EVENTS = """SELECT user_id, item_id, rating FROM (
 FIXTURE = {"o": ORDERS, "e": EVENTS}
 
 
-def base(fix: str) -> list[str]:
+def base(fix: str, train: str = "SELECT user_id, item_id, rating FROM r WHERE (user_id * 31 + item_id * 17) % 5 <> 0") -> list[str]:
     """CTEs r, train, test, g, nu, ua, ia, dev, idev, nrm, rhat, cpairs, cedges, jpairs, jedges."""
     return [
         f"r AS ({FIXTURE[fix]})",
-        "train AS (SELECT user_id, item_id, rating FROM r WHERE (user_id * 31 + item_id * 17) % 5 <> 0)",
+        f"train AS ({train})",
         "test AS (SELECT user_id, item_id, rating FROM r WHERE (user_id * 31 + item_id * 17) % 5 = 0)",
         "g AS (SELECT AVG(rating) AS g FROM train)",
         "nu AS (SELECT COUNT(DISTINCT user_id) AS n FROM train)",
@@ -49,39 +49,31 @@ def base(fix: str) -> list[str]:
         """rhat AS (SELECT d.user_id, d.item_id, d.dev,
                CASE WHEN n.norm = 0 THEN 0.0 ELSE d.dev / n.norm END AS rhat
              FROM dev d JOIN nrm n ON n.user_id = d.user_id)""",
-        """cpairs AS (SELECT a.user_id AS u, b.user_id AS v, SUM(a.rhat * b.rhat) AS sim
+        """cpairs AS (SELECT a.user_id AS u, b.user_id AS v, SUM(a.rhat * b.rhat) AS sim, SUM(ABS(a.rhat * b.rhat)) AS size
              FROM rhat a JOIN rhat b ON a.item_id = b.item_id AND a.user_id < b.user_id GROUP BY 1, 2)""",
-        """cedges AS (SELECT u, v, sim FROM cpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0
-             UNION ALL SELECT v AS u, u AS v, sim FROM cpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0)""",
+        """cedges AS (SELECT u, v, sim FROM cpairs WHERE ABS(sim) > 1e-12 * size
+             UNION ALL SELECT v AS u, u AS v, sim FROM cpairs WHERE ABS(sim) > 1e-12 * size)""",
         """jcommon AS (SELECT a.user_id AS u, b.user_id AS v, COUNT(*) AS c
              FROM train a JOIN train b ON a.item_id = b.item_id AND a.user_id < b.user_id GROUP BY 1, 2)""",
         """jpairs AS (SELECT j.u, j.v, CAST(j.c AS DOUBLE) / (x.n + y.n - j.c) AS sim
              FROM jcommon j JOIN ua x ON x.user_id = j.u JOIN ua y ON y.user_id = j.v)""",
-        """jedges AS (SELECT u, v, sim FROM jpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0
-             UNION ALL SELECT v AS u, u AS v, sim FROM jpairs WHERE FLOOR(sim * 10000000000.0 + 0.5) <> 0)""",
+        "jedges AS (SELECT u, v, sim FROM jpairs UNION ALL SELECT v AS u, u AS v, sim FROM jpairs)",
     ]
 
 
 def knn(name: str, edges: str, k: int, cand: str | None = None, keys: tuple[str, ...] = ()) -> list[str]:
-    """Top-k with the zero offset. ``cand`` is a table (user_id[, keys], n_cand); default
-    every other user of train."""
+    """Top-k by ranking every candidate pair, those without an edge at similarity 0. ``cand`` is a
+    table (u, v[, keys]) of the candidates; default every two users of train."""
     kp = "".join(f", {c}" for c in keys)
-    part = "u" + kp
-    if cand is None:
-        cand_expr = "((SELECT n FROM nu) - 1)"
-        cand_join = ""
-    else:
-        cand_expr = "c.n_cand"
-        on = " AND ".join(["c.user_id = x.u"] + [f"c.{c} = x.{c}" for c in keys])
-        cand_join = f"JOIN {cand} c ON {on}"
+    xkp = "".join(f", x.{c}" for c in keys)
+    on = "".join(f" AND e.{c} = x.{c}" for c in keys)
+    cand = cand or "(SELECT a.user_id AS u, b.user_id AS v FROM ua a JOIN ua b ON a.user_id <> b.user_id)"
     return [
-        f"""{name}_r AS (SELECT u, v, sim{kp},
-               ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY FLOOR(sim * 10000000000.0 + 0.5) DESC, v) AS rn,
-               COUNT(*) OVER (PARTITION BY {part}) AS stored FROM {edges})""",
-        f"""{name} AS (SELECT * FROM (
-               SELECT x.u AS user_id, x.v AS neighbor_id, x.sim{''.join(f', x.{c}' for c in keys)},
-                 CAST(x.rn + CASE WHEN FLOOR(x.sim * 10000000000.0 + 0.5) < 0 THEN {cand_expr} - x.stored ELSE 0 END AS BIGINT) AS rank
-               FROM {name}_r x {cand_join} WHERE x.rn <= {k}) WHERE rank <= {k})""",
+        f"""{name}_r AS (SELECT x.u, x.v{xkp}, e.sim, ROW_NUMBER() OVER (PARTITION BY x.u{xkp}
+               ORDER BY FLOOR(COALESCE(e.sim, 0.0) * 10000000000.0 + 0.5) DESC, e.sim IS NULL, x.v) AS rank
+             FROM {cand} x LEFT JOIN {edges} e ON e.u = x.u AND e.v = x.v{on})""",
+        f"""{name} AS (SELECT u AS user_id, v AS neighbor_id, sim{kp}, rank FROM {name}_r
+             WHERE sim IS NOT NULL AND rank <= {k})""",
     ]
 
 
@@ -115,14 +107,15 @@ def simple_preds(test: str = "test", prefix: str = "p_") -> list[str]:
 
 
 def uniform(name: str = "p_uniform", test: str = "test") -> list[str]:
+    """The mean deviation over the real pairs of the user and the item's other raters."""
     a = "COALESCE(ua.user_avg, (SELECT g FROM g))"
-    d = ("CASE WHEN ua.user_avg IS NULL THEN 0.0 ELSE COALESCE((us.s - COALESCE(o.dev, 0.0)) / "
-         "NULLIF(us.n - CASE WHEN o.dev IS NULL THEN 0 ELSE 1 END, 0), 0.0) END")
+    d = "CASE WHEN ua.user_avg IS NULL THEN 0.0 ELSE COALESCE(s.d, 0.0) END"
     return [
-        "us AS (SELECT item_id, SUM(dev) AS s, COUNT(*) AS n FROM dev GROUP BY item_id)",
+        f"""{name}_s AS (SELECT t.user_id, t.item_id, AVG(o.dev) AS d FROM {test} t
+             JOIN dev o ON o.item_id = t.item_id AND o.user_id <> t.user_id GROUP BY 1, 2)""",
         f"""{name} AS (SELECT t.user_id, t.item_id, t.rating, {denorm(a, d)} AS prediction
-             FROM {test} t LEFT JOIN ua ON ua.user_id = t.user_id LEFT JOIN us ON us.item_id = t.item_id
-             LEFT JOIN dev o ON o.user_id = t.user_id AND o.item_id = t.item_id)""",
+             FROM {test} t LEFT JOIN ua ON ua.user_id = t.user_id
+             LEFT JOIN {name}_s s ON s.user_id = t.user_id AND s.item_id = t.item_id)""",
     ]
 
 
@@ -144,16 +137,14 @@ def bins(name: str, users: str, partitions: int, reps: str | int) -> list[str]:
              FROM {users} CROSS JOIN (SELECT CAST(range AS BIGINT) AS bin FROM range(0, {partitions})))""",
         f"""{name} AS (SELECT b.user_id, r.replication, b.bin FROM {name}_all b JOIN {reps_tbl} r
              ON b.bin_rank <= r.replication)""",
-        f"""{name}_cand AS (SELECT x.user_id, x.replication, COUNT(DISTINCT y.user_id) AS n_cand
+        f"""{name}_cand AS (SELECT DISTINCT x.user_id AS u, y.user_id AS v, x.replication
              FROM {name} x JOIN {name} y ON x.bin = y.bin AND x.replication = y.replication
-               AND y.user_id <> x.user_id GROUP BY 1, 2)""",
-        f"""{name}_shared AS (SELECT DISTINCT x.user_id AS u, y.user_id AS v, x.replication
-             FROM {name} x JOIN {name} y ON x.bin = y.bin AND x.replication = y.replication
-               AND x.user_id < y.user_id)""",
+               AND y.user_id <> x.user_id)""",
+        f"{name}_shared AS (SELECT u, v, replication FROM {name}_cand WHERE u < v)",
         f"""{name}_edges AS (SELECT p.u, p.v, p.sim, s.replication FROM cpairs p
-               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE FLOOR(p.sim * 10000000000.0 + 0.5) <> 0
+               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE ABS(p.sim) > 1e-12 * p.size
              UNION ALL SELECT p.v AS u, p.u AS v, p.sim, s.replication FROM cpairs p
-               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE FLOOR(p.sim * 10000000000.0 + 0.5) <> 0)""",
+               JOIN {name}_shared s ON s.u = p.u AND s.v = p.v WHERE ABS(p.sim) > 1e-12 * p.size)""",
     ]
 
 

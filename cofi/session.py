@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,38 +72,55 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     executor costs a re-read, not a recomputation from the sources.
     """
     spark = df.sparkSession
-    path = f"{_table_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = table_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     # The schema just written is known: reading with it skips the footer-inference job.
     return spark.read.schema(df.schema).parquet(path)
 
 
 _ROOTS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
-def _table_root(spark: SparkSession) -> str:
-    """``<checkpoint dir>/cofi-tables/<application id>``: every table this application
-    writes; ``drop_tables`` removes it (also registered for deletion at file system close)."""
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path under ``<checkpoint dir>/cofi-tables/<application id>``, the folder of every
+    table this application writes. The folder is made first, as Hadoop only registers existing
+    paths for deletion at exit; ``drop_tables`` removes it sooner, ``table_scope`` the tables of
+    one query."""
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
         root = f"{checkpoint_dir(spark).rstrip('/')}/cofi-tables/{app}"
-        try:
-            jvm = spark.sparkContext._jvm
-            hpath = jvm.org.apache.hadoop.fs.Path(root)
-            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-        except Exception:  # noqa: BLE001 - cleanup is best effort
-            pass
+        hpath, fs = _file_system(spark, root)
+        fs.mkdirs(hpath)
+        fs.deleteOnExit(hpath)
         _ROOTS[app] = root
-    return _ROOTS[app]
+    path = f"{_ROOTS[app]}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
 
+@contextmanager
+def table_scope(spark: SparkSession):
+    """Deletes the tables written inside it when it ends; results must be read before."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            hpath, fs = _file_system(spark, path)
+            fs.delete(hpath, True)
 
 
 def drop_tables(spark: SparkSession) -> None:
-    """Delete the tables this application wrote with ``materialize`` (call at job end,
-    once no DataFrame built on them will run again)."""
+    """Delete the tables this application wrote (call at job end, once no DataFrame built on
+    them will run again)."""
     root = _ROOTS.pop(spark.sparkContext.applicationId, None)
-    if root is None:
-        return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(root)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    if root is not None:
+        hpath, fs = _file_system(spark, root)
+        fs.delete(hpath, True)

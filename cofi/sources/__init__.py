@@ -1,10 +1,12 @@
 from cofi.sources.ratings import (
     RATINGS_SCHEMA,
     append_user,
+    clean_ratings,
     dedupe,
     expect_rows,
     load_ratings,
     load_ratings_text,
+    only,
     parse_rating_lines,
     split_train_test,
 )
@@ -13,6 +15,7 @@ from cofi.sources.fixtures import (
     events_ratings,
     orders_ratings,
     personal_from_parts,
+    rated_pairs,
     rating_lines_from,
     read_table,
 )
@@ -20,7 +23,7 @@ from cofi.sources.sinks import answers_table, nested_answers, write_answers
 
 __all__ = [
     "RATINGS_SCHEMA", "load_ratings", "load_ratings_text", "parse_rating_lines", "dedupe",
-    "split_train_test", "append_user", "expect_rows", "load_personal_csv", "personal_ratings",
-    "titles", "orders_ratings", "events_ratings", "personal_from_parts", "rating_lines_from",
+    "split_train_test", "append_user", "clean_ratings", "only", "expect_rows", "load_personal_csv", "personal_ratings",
+    "titles", "orders_ratings", "events_ratings", "personal_from_parts", "rated_pairs", "rating_lines_from",
     "read_table", "answers_table", "nested_answers", "write_answers",
 ]

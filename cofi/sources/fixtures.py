@@ -8,7 +8,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cofi.sources.ratings import dedupe
@@ -33,6 +33,14 @@ def orders_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(rated, "max")
 
 
+def rated_pairs(spark: SparkSession, sf_dir: str) -> Column:
+    """Scalar: how many (customer, part) pairs the sources hold, without the ratings."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(od, li.l_orderkey == od.o_orderkey).select("o_custkey", "l_partkey").distinct()
+            .select(F.count(F.lit(1))).scalar())
+
+
 def events_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, props.k) -> min(5, 1 + floor(value / 20)) of the latest event (ts, event_id)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cofi.functions import RATING_HI, RATING_LO, checked_rating, safe_int
+
 RATINGS_SCHEMA = "user_id BIGINT, item_id BIGINT, rating DOUBLE"
 RATING_COLS = ["user_id", "item_id", "rating"]
 
@@ -13,57 +15,76 @@ def parse_rating_lines(lines: DataFrame, sep: str = "\t", col: str = "value") ->
     """Delimited lines to ratings.
 
     Fields are split on the ``sep`` regular expression and trimmed; a line whose first field
-    is not an integer (header, blank line) is dropped; further columns (timestamp) are ignored.
-    Item and rating are cast strictly, so a malformed data line fails the job instead of
+    is not an integer (header, blank line) is dropped; ids are 64-bit; further columns
+    (timestamp) are ignored. Item and rating are cast strictly, so a malformed data line fails the job instead of
     vanishing.
     """
     parts = F.split(F.col(col), sep)
     first = F.trim(parts.getItem(0))
     return (lines
-            .where(first.try_cast("int").isNotNull())
-            .select(first.cast("bigint").alias("user_id"),
+            .where(safe_int(first).isNotNull())
+            .select(safe_int(first).alias("user_id"),
                     F.trim(parts.getItem(1)).cast("bigint").alias("item_id"),
                     F.trim(parts.getItem(2)).cast("double").alias("rating")))
 
 
+def clean_ratings(df: DataFrame, drop_zero: bool = True, null_ratings: str = "fail",
+                  lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
+    """What every loader does with the values: a zero means "not rated" and is dropped unless
+    ``drop_zero`` is False; a missing rating stops the job, or is dropped with
+    ``null_ratings="drop"``; any other rating outside [lo, hi] stops the job."""
+    if null_ratings not in ("fail", "drop"):
+        raise ValueError(f"null_ratings is 'fail' or 'drop', not {null_ratings!r}")
+    if null_ratings == "drop":
+        df = df.where(F.col("rating").isNotNull())
+    rating = checked_rating("rating", lo, hi)
+    if drop_zero:
+        df = df.where(F.col("rating").isNull() | (F.col("rating") != 0))
+    else:
+        rating = F.when(F.col("rating") == 0, F.col("rating")).otherwise(rating)
+    return df.select("user_id", "item_id", rating.alias("rating"))
+
+
 def load_ratings_text(spark: SparkSession, path: str, sep: str = "\t",
-                      n_users: int | None = None, n_items: int | None = None) -> DataFrame:
+                      n_users: int | None = None, n_items: int | None = None, **clean) -> DataFrame:
     """Tab- or ``::``-separated text files (any Hadoop path, directory or glob).
 
     ``n_users`` / ``n_items`` optionally keep only ids in 1..n (the declared matrix
-    dimensions of a dataset); ids are never renumbered.
+    dimensions of a dataset); ids are never renumbered. ``clean``: see ``clean_ratings``.
     """
     df = parse_rating_lines(spark.read.text(path), sep)
     if n_users is not None:
         df = df.where(F.col("user_id").between(1, n_users))
     if n_items is not None:
         df = df.where(F.col("item_id").between(1, n_items))
-    return df
+    return clean_ratings(df, **clean)
 
 
 def load_ratings(spark: SparkSession, path: str, fmt: str = "parquet", sep: str = ",",
                  user_col: str = "user_id", item_col: str = "item_id",
-                 rating_col: str = "rating", drop_zero: bool = True) -> DataFrame:
+                 rating_col: str = "rating", **clean) -> DataFrame:
     """Ratings from parquet, CSV or delimited text, projected to the ratings schema.
 
-    Only the three needed columns are read (the scan's ReadSchema shows it); zero ratings
-    mean "not rated" and are dropped unless ``drop_zero`` is False.
+    Only the three needed columns are read (the scan's ReadSchema shows it). ``clean``: see
+    ``clean_ratings``.
     """
     if fmt == "text":
-        df = load_ratings_text(spark, path, sep)
+        return load_ratings_text(spark, path, sep, **clean)
+    if fmt == "csv":
+        raw = spark.read.option("header", "true").option("sep", sep).csv(path)
     else:
-        reader = spark.read
-        if fmt == "csv":
-            reader = reader.option("header", "true").option("sep", sep)
-            raw = reader.csv(path)
-        else:
-            raw = reader.format(fmt).load(path)
-        df = raw.select(F.col(user_col).cast("bigint").alias("user_id"),
-                        F.col(item_col).cast("bigint").alias("item_id"),
-                        F.col(rating_col).cast("double").alias("rating"))
-    if drop_zero:
-        df = df.where(F.col("rating") != 0)
-    return df
+        raw = spark.read.format(fmt).load(path)
+    return clean_ratings(raw.select(F.col(user_col).cast("bigint").alias("user_id"),
+                                    F.col(item_col).cast("bigint").alias("item_id"),
+                                    F.col(rating_col).cast("double").alias("rating")), **clean)
+
+
+def only(df: DataFrame, users) -> DataFrame:
+    """The rows of the requested users: one id, a list of ids (a filter that reaches the scan),
+    or a DataFrame (user_id)."""
+    if isinstance(users, DataFrame):
+        return df.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    return df.where(F.col("user_id").isin([users] if isinstance(users, int) else list(users)))
 
 
 def dedupe(df: DataFrame, policy: str = "last", order_cols: list[str] | None = None) -> DataFrame:
@@ -112,8 +133,9 @@ def append_user(ratings: DataFrame, extra: DataFrame) -> DataFrame:
     return ratings.select(*RATING_COLS).unionByName(extra.select(*RATING_COLS))
 
 
-def expect_rows(df: DataFrame, expected: int) -> DataFrame:
-    """``df`` with a lazy row-count assertion: the job fails if the count differs."""
+def expect_rows(df: DataFrame, expected: int | Column) -> DataFrame:
+    """``df`` with a lazy row-count assertion: the job fails if the count differs from a number
+    or a scalar subquery."""
     n = df.select(F.count(F.lit(1))).scalar()
-    return df.where(F.assert_true(n == F.lit(expected),
-                                  F.lit(f"expected {expected} rows")).isNull())
+    want = expected if isinstance(expected, Column) else F.lit(expected)
+    return df.where(F.assert_true(n == want, F.concat(F.lit("rows expected: "), want.cast("string"))).isNull())

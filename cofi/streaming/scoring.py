@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cofi.functions import denormalize, weighted_deviation
-from cofi.operators import knn, stats
+from cofi.operators import knn, predict, stats
 from cofi.session import materialize
 
 
@@ -21,7 +20,6 @@ class KnnModel:
         self.enriched = enriched
         self.graph = graph
         self.user_avg = enriched.groupBy("user_id").agg(F.max("user_avg").alias("user_avg"))
-        self.global_avg = enriched.select(F.avg("rating")).scalar()
 
     @classmethod
     def fit(cls, train: DataFrame, k: int) -> "KnnModel":
@@ -33,18 +31,7 @@ class KnnModel:
 
     def predict(self, requests: DataFrame) -> DataFrame:
         """(user_id, item_id, rating, prediction) for every request row."""
-        t = (requests.select("user_id", "item_id", "rating") if "rating" in requests.columns
-             else requests.select("user_id", "item_id", F.lit(None).cast("double").alias("rating")))
-        d = self.enriched.select(F.col("user_id").alias("neighbor_id"), "item_id", "dev")
-        sums = (t.select("user_id", "item_id").distinct()
-                .join(self.graph.select("user_id", "neighbor_id", "sim"), "user_id")
-                .join(d, ["neighbor_id", "item_id"])
-                .groupBy("user_id", "item_id")
-                .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
-        j = t.join(sums, ["user_id", "item_id"], "left").join(self.user_avg, "user_id", "left")
-        avg = F.coalesce("user_avg", self.global_avg)
-        return j.select("user_id", "item_id", "rating",
-                        denormalize(avg, weighted_deviation("num", "den")).alias("prediction"))
+        return predict.pred_weighted(self.enriched, requests, self.enriched, self.graph, averages=self.user_avg)
 
 
 def score_stream(model: KnnModel, requests: DataFrame, out_path: str, checkpoint: str,

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def ev(spark):
-    return Fixture(spark, SF, "e")
+    return Fixture(spark, SF, "e", shared=True)
 
 
 def test_salted_pairs_equal_plain(ev):
@@ -21,8 +21,8 @@ def test_salted_pairs_equal_plain(ev):
         return {(r.u, r.v): r.s for r in co_rated_pairs(ev.rhat, ["item_id"], "rhat", **kw)
                 .groupBy("u", "v").agg(F.sum(F.col("a") * F.col("b")).alias("s"),
                                        F.count(F.lit(1)).alias("c")).collect()}
-    plain = sums(block_rows=None)
-    salted = sums(block_rows=2, max_blocks=5)
+    plain = sums(block_rows=10**6)
+    salted = sums(block_rows=2)
     assert plain.keys() == salted.keys()
     for k, v in plain.items():
         assert salted[k] == pytest.approx(v, abs=1e-12)
@@ -95,26 +95,57 @@ def test_top_k_against_brute_force(spark, ev, k):
         cand = [(v, sim.get((u, v), 0.0)) for v in users if v != u]
         key = lambda x: (-math.floor(x[1] * 1e10 + 0.5), x[0])
         for rank, (v, s) in enumerate(sorted(cand, key=key), start=1):
-            if rank <= k and math.floor(s * 1e10 + 0.5) != 0:
+            if rank <= k and (u, v) in sim:
                 want.add((u, v, rank))
     g = knn.knn_graph(rhat, k, F.lit(len(users) - 1))
     got = {(r.user_id, r.neighbor_id, r.rank) for r in g.collect()}
     assert got == want
 
 
+@pytest.mark.parametrize("partitions,replication", [(6, 2), (5, 4), (70, 3), (4, 4)])
+def test_candidate_counts(ev, partitions, replication):
+    """Inclusion and exclusion against every pair of users; the sweep's masks beyond one number of bins."""
+    bins = approx.user_bins(ev.users, partitions, replication)
+    of = {}
+    for r in bins.collect():
+        of.setdefault(r.user_id, set()).add(r.bin)
+    got = {r.user_id: r.n_cand for r in approx.candidates(approx._bin_sets(bins, [])).collect()}
+    assert got == {u: sum(bool(b & c) for v, c in of.items() if v != u) for u, b in of.items()}
+
+
+def test_sweep_masks_of_many_bins(ev, monkeypatch):
+    """The same graph whether the bins fit one mask number or need several."""
+    pairs = similarity.cosine_pairs(ev.rhat)
+    graph = lambda: {tuple(r) for r in approx.replication_sweep_graph(pairs, ev.users, 4, 9, [1, 3])
+                     .select("user_id", "neighbor_id", "replication", "rank").collect()}
+    one = graph()
+    monkeypatch.setattr(approx, "MASK_BITS", 2)
+    assert graph() == one and one
+
+
+def test_requested_users_equal_the_whole_graph(ev, spark):
+    users = spark.createDataFrame([(1,), (3,), (7,)], "user_id BIGINT")
+    want = {tuple(r) for r in ev.knn(5).where("user_id IN (1, 3, 7)").select("user_id", "neighbor_id", "rank").collect()}
+    for asked in (users, [1, 3, 7]):
+        graph, _ = knn.knn_of(ev.train, asked, 5)
+        assert {tuple(r) for r in graph.select("user_id", "neighbor_id", "rank").collect()} == want
+    near = {(r.u, r.v): round(r.sim, 9) for r in similarity.jaccard_edges(ev.train).where("u = 3").collect()}
+    assert {(r.u, r.v): round(r.sim, 9) for r in similarity.jaccard_of(ev.train, 3).collect()} == near
+
+
 @pytest.mark.parametrize("k", [2, 5, 12])
 def test_sweep_ranking_equals_per_level_top_k(ev, k):
     """One sort per user with running per-level counts == ranking each level separately."""
-    from cofi.operators.pairs import nonzero, symmetrize
+    from cofi.operators.pairs import symmetrize
 
-    pairs = similarity.cosine_pairs(ev.rhat).where(nonzero(F.col("sim")))
+    pairs = similarity.cosine_pairs(ev.rhat)
     levels = [1, 2, 3, 5]
     got = {tuple(r) for r in approx.replication_sweep_graph(pairs, ev.users, k, 6, levels)
            .select("user_id", "neighbor_id", "replication", "rank").collect()}
     want = set()
     for r in levels:
         bins = approx.user_bins(ev.users, 6, r)
-        shared = approx.approx_pairs(ev.rhat, bins).where(nonzero(F.col("sim")))
+        shared = approx.approx_pairs(ev.rhat, bins)
         sets = bins.groupBy("user_id").agg(F.sort_array(F.collect_list("bin")).alias("bins"))
         g = knn.top_k(symmetrize(shared), k, approx.candidates(sets))
         want |= {(x.user_id, x.neighbor_id, r, x.rank) for x in g.collect()}

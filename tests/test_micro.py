@@ -123,9 +123,9 @@ def test_predictions_and_mae(micro, spark):
 def test_recommend(micro):
     train, _ = micro
     dev = stats.norm_dev(train)
-    r2 = [(r.item_id, r.prediction) for r in recommend.recommend_user(train, dev, 2, 2, 3).orderBy("rank").collect()]
+    r2 = [(r.item_id, r.prediction) for r in recommend.recommend_user(train, 2, 2, 3).orderBy("rank").collect()]
     assert r2 == [(13, pytest.approx(3.857143, **A)), (14, 3.0), (15, 3.0)]
-    r4 = [(r.item_id, r.prediction) for r in recommend.recommend_user(train, dev, 4, 2, 3).orderBy("rank").collect()]
+    r4 = [(r.item_id, r.prediction) for r in recommend.recommend_user(train, 4, 2, 3).orderBy("rank").collect()]
     assert r4 == [(10, 3.0), (11, 3.0), (12, 3.0)]
     unseen = {r.item_id for r in recommend.unseen_items(train, 5).collect()}
     assert unseen == {10, 11, 12, 13}
@@ -144,9 +144,10 @@ def test_approx_single_bin_is_exact(micro):
 
 
 def test_nonzero_filter(spark):
-    df = spark.createDataFrame([(1e-11,), (-1e-11,), (6e-11,), (-6e-11,), (0.0,)], "s DOUBLE")
-    got = [r.s for r in df.where(nonzero(F.col("s"))).collect()]
-    assert sorted(got) == [-6e-11, 6e-11]
+    """Rounding error against the size of the terms is zero; a small sum of small terms is not."""
+    df = spark.createDataFrame([(1e-16, 1.0), (-1e-14, 2.0), (1e-11, 1.0), (-1e-20, 1e-20), (0.0, 0.0), (0.0, 3.0)], "s DOUBLE, size DOUBLE")
+    got = [r.s for r in df.where(nonzero(F.col("s"), "size")).collect()]
+    assert sorted(got) == [-1e-20, 1e-11]
 
 
 def test_recommend_all_micro(micro):
@@ -160,10 +161,31 @@ def test_recommend_all_micro(micro):
     assert got[4] == [(10, 3.0), (11, 3.0), (12, 3.0)]
     for u in (1, 3, 5):
         single = [(r.item_id, r.prediction) for r in
-                  recommend.recommend_user(train, dev, u, 2, 3).orderBy("rank").collect()]
+                  recommend.recommend_user(train, u, 2, 3).orderBy("rank").collect()]
         assert got[u] == single
 
 
+def test_recommend_all_many(micro):
+    """More places than a user has unseen items, with a long tie block."""
+    train, _ = micro
+    dev = stats.norm_dev(train)
+    rec = recommend.recommend_all(train, dev, knn.as_edges(knn.knn_from_ratings(train, 2)), 100)
+    got = {}
+    for r in rec.orderBy("user_id", "rank").collect():
+        got.setdefault(r.user_id, []).append((r.item_id, r.prediction))
+    for u in range(1, 6):
+        single = recommend.recommend_user(train, u, 2, 100).orderBy("rank").collect()
+        assert got.get(u, []) == [(r.item_id, r.prediction) for r in single]
+
+
+def test_all_neighbours_through_the_item(micro):
+    train, test = micro
+    dev = stats.norm_dev(train)
+    e = similarity.cosine_edges(stats.preprocessed(dev)).select(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"), "sim")
+    a, b = (in_test_order(predict.pred_weighted(train, test, dev, e, all_neighbours=x)) for x in (False, True))
+    assert a == pytest.approx(b, abs=1e-12)
+
+
 def test_knn_nested(micro):
     train, _ = micro
     rows = {r.user_id: [(x.rank, x.neighbor_id) for x in r.neighbors]

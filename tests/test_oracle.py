@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cofi.plans.catalog import ORACLE_SQL, QUERIES
+from cofi.session import table_scope
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -26,10 +28,9 @@ def duck():
     return con
 
 
-def test_every_query_has_sql_or_is_rows_only():
-    q, s = entry.queries(), entry.oracle_sql()
-    assert set(s) <= set(q)
-    assert set(q) - set(s) == {"answers_json"}
+def test_every_query_has_sql():
+    q, s = QUERIES, ORACLE_SQL
+    assert set(s) == set(q) and set(q) <= set(entry.queries()) and set(s) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -37,13 +38,9 @@ def test_entry(spark):
     assert df.columns == ["method", "mae"] and df.count() == 4
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
-    rel = duck.sql(entry.oracle_sql()[name])
-    assert _canon(df.columns, df.collect()) == _canon(rel.columns, rel.fetchall())
-
-
-def test_answers_json(spark):
-    rows = entry.queries()["answers_json"](spark, SF).collect()
-    assert {r.section for r in rows} == {"Meta", "B.1", "B.2", "N.1"}
+    with table_scope(spark):
+        df = QUERIES[name](spark, SF)
+        rel = duck.sql(ORACLE_SQL[name])
+        assert _canon(df.columns, df.collect()) == _canon(rel.columns, rel.fetchall())

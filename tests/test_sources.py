@@ -23,6 +23,31 @@ def test_parse_lines_drops_header_and_blank(spark):
     assert got == [(1, 10, 4.0), (2, 11, 3.5)]
 
 
+def test_ids_beyond_32_bits(spark, tmp_path):
+    lines = spark.createDataFrame([("2147483648\t10\t4",), ("3000000000\t9000000000\t2",), ("x\t1\t1",)], "value STRING")
+    assert sorted(tuple(r) for r in parse_rating_lines(lines).collect()) == [
+        (2147483648, 10, 4.0), (3000000000, 9000000000, 2.0)]
+
+
+def test_missing_zero_and_impossible_ratings(spark, tmp_path):
+    write = lambda name, text: (tmp_path / name).write_text(text) and str(tmp_path / name)
+    with_null = write("null.csv", "u,i,r\n1,10,4\n1,11,\n")
+    cols = dict(user_col="u", item_col="i", rating_col="r")
+    with pytest.raises(Exception, match="missing"):
+        load_ratings(spark, with_null, "csv", **cols).collect()
+    assert load_ratings(spark, with_null, "csv", null_ratings="drop", **cols).count() == 1
+    with pytest.raises(ValueError):
+        load_ratings(spark, with_null, "csv", null_ratings="keep", **cols)
+    with pytest.raises(Exception, match="outside the scale: 7"):
+        load_ratings(spark, write("far.csv", "u,i,r\n1,10,7\n"), "csv", **cols).collect()
+    with pytest.raises(Exception, match="outside the scale"):
+        load_ratings_text(spark, write("far.txt", "1\t10\t0.5\n")).collect()
+    zero = write("zero.txt", "1\t10\t0\n1\t11\t3\n")
+    assert load_ratings_text(spark, zero).count() == 1
+    assert load_ratings_text(spark, zero, drop_zero=False).count() == 2
+    assert load_ratings(spark, zero, "text", "\t").count() == 1
+
+
 def test_text_file_double_colon(spark, tmp_path):
     p = tmp_path / "r.dat"
     p.write_text("1::10::5::978300760\n2::10::3::978300761\n")
@@ -82,12 +107,14 @@ def test_expect_rows(micro):
     assert expect_rows(train, 15).count() == 15
     with pytest.raises(Exception):
         expect_rows(train, 16).collect()
+    assert expect_rows(train, train.select(F.count(F.lit(1))).scalar()).count() == 15
 
 
 def test_answers(spark):
     a = spark.createDataFrame([("B.1", "mae", 0.5), ("B.1", "avg", 3.0)], "section STRING, metric STRING, value DOUBLE")
     j = nested_answers(answers_table(a)).first()
     assert j.section == "B.1" and j.json == '{"avg":3.0,"mae":0.5}'
+    assert nested_answers(answers_table(a), 6).first().json == '{"avg":"3.000000","mae":"0.500000"}'
 
 
 def test_text_dimensions(spark, tmp_path):
