@@ -104,7 +104,8 @@ def test_a_permutation(spark):
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, "e"), (None, "", "e"), (2, "plain words only", "e"), (2, "plain words only", "e"),
-                                       (3, "w " * 200_000 + "x@y.org", None)]])
+                                       (3, "w " * 200_000 + "x@y.org", None), (4, "a@" + "b." * 50_000 + " 1" * 50_000, None),
+                                       (5, "1" * 100_000 + " " + "f" * 100_000 + "-" * 99, None)]])
 def test_edges(spark, rows):
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, n_email STRING")
     out = pii.mask(df, KEY)
