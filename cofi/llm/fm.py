@@ -157,9 +157,9 @@ def repeated_windows(rows: dict[str, list], length: int) -> tuple[list[int], lis
     return tuple(map(list, zip(*out))) if out else ([], [], [])
 
 
-def repeated(docs: DataFrame, kind: Words, parts: int, hot: int = repeats.HOT) -> DataFrame:
+def repeated(docs: DataFrame, kind: Words, parts: int | None, hot: int = repeats.HOT) -> DataFrame:
     """(doc_id, first, n): runs of the windows that start at two places or more."""
-    found = repeats.candidates(docs, kind, parts)
+    found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs))
     stretches = materialize(repeats.segments(docs, found, kind), "fm-stretches")
     length = kind.length
 
@@ -177,7 +177,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     """(doc_id, n_words, n_removed, spans ARRAY<STRUCT<start, end>>, kept BINARY) per row of ``docs``: the
     removed ranges of words and the others, joined by one space."""
     kind = Words(length, gram)
-    windows = repeated(docs, kind, parts or repeats.default_parts(docs), hot)
+    windows = repeated(docs, kind, parts, hot)
 
     def finish(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in pieces(batch, max_bytes=repeats.BLOCK):

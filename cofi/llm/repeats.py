@@ -35,6 +35,7 @@ from cofi.session import materialize
 
 BLOCK = 2 << 20    # bytes of text of a block
 CHUNK = 1 << 20    # windows looked at together; positions in a chunk need 24 bits
+SHARD = 2 << 20    # bytes of stretches of a shard, on average
 HOT = 20_000       # stretches of one anchor beyond which its windows are routed alone
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -208,10 +209,13 @@ def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
                                     "of_doc BIGINT, of_first INT")
 
 
-def shards(stretches: DataFrame, kind: Kind, parts: int, hot: int = HOT) -> DataFrame:
+def shards(stretches: DataFrame, kind: Kind, parts: int | None = None, hot: int = HOT) -> DataFrame:
     """(shard, doc_id, first, n, copies, data): stretches with data, by the shard that all windows with
-    the same anchor meet in. Those of a hot anchor are dealt window by window."""
+    the same anchor meet in. Those of a hot anchor are dealt window by window. There are
+    as many shards as the stretches fill, so that a task's memory does not follow the input."""
     own = stretches.where("data IS NOT NULL")
+    if parts is None:
+        parts = 1 + (own.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // SHARD
     crowded = materialize(own.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select(
         F.col("hash").alias("hot")), "repeats-hot")
     marked = own.join(crowded, F.col("hash") == F.col("hot"), "left")

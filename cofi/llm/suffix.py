@@ -171,9 +171,9 @@ def repeated_windows(rows: dict[str, list], length: int) -> tuple[list[int], lis
     return docs, firsts, ns
 
 
-def repeated(docs: DataFrame, kind: Bytes, parts: int, hot: int = repeats.HOT) -> DataFrame:
+def repeated(docs: DataFrame, kind: Bytes, parts: int | None, hot: int = repeats.HOT) -> DataFrame:
     """(doc_id, first, n): runs of the windows that also start earlier."""
-    found = repeats.candidates(docs, kind, parts)
+    found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs))
     stretches = materialize(repeats.segments(docs, found, kind), "suffix-stretches")
     length = kind.length
 
@@ -192,7 +192,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     """(doc_id, n_bytes, n_removed, spans ARRAY<STRUCT<start, end>>, kept BINARY) per row of ``docs``:
     the removed byte ranges and what is left."""
     kind = Bytes(length, gram)
-    windows = repeated(docs, kind, parts or repeats.default_parts(docs), hot)
+    windows = repeated(docs, kind, parts, hot)
 
     def finish(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in pieces(batch, max_bytes=repeats.BLOCK):
