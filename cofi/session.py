@@ -63,8 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back
+    (``compression``: other than the session's parquet codec).
 
     Used where one intermediate feeds several branches of a plan (both sides of a
     self-join, a ranking and its per-user counts): each branch then scans the written
@@ -73,7 +74,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = table_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     # The schema just written is known: reading with it skips the footer-inference job.
     return spark.read.schema(df.schema).parquet(path)
 
