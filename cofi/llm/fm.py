@@ -160,7 +160,7 @@ def repeated_windows(rows: dict[str, list], length: int) -> tuple[list[int], lis
 def repeated(docs: DataFrame, kind: Words, parts: int | None, hot: int = repeats.HOT) -> DataFrame:
     """(doc_id, first, n): runs of the windows that start at two places or more."""
     found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs))
-    stretches = materialize(repeats.segments(docs, found, kind), "fm-stretches")
+    stretches = materialize(repeats.segments(docs, found, kind), "fm-stretches", "zstd")
     length = kind.length
 
     def search(table: pa.Table) -> pa.Table:
@@ -184,7 +184,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
             ids, texts, spans = (c.to_pylist() for c in piece.columns)
             out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "spans", "kept")}
             for text, runs in zip(texts, spans):
-                words = (text or "").encode("utf-8").split()
+                words = repeats.unpacked(text).split()
                 gone = repeats.coverage(runs, length, len(words))
                 edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
                 out["n_words"].append(len(words))

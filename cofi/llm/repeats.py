@@ -175,12 +175,28 @@ def _split(items: np.ndarray, keys: np.ndarray) -> tuple[list[int], list[np.ndar
     return keys[at].tolist(), np.split(items, at[1:])
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text BINARY): compressed texts, which halves what a shuffle of them writes."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for piece in pieces(batch):
+            yield {"doc_id": piece.column(0), "text": [
+                None if t is None else press(t.encode("utf-8")) for t in piece.column(1).to_pylist()]}
+
+    return map_batches(text_rows(docs), run, "doc_id BIGINT, text BINARY")
+
+
+def unpacked(text: bytes | None) -> bytes:
+    return zstandard.decompress(text) if text else b""
+
+
 def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
     """(hash, doc_id, first, n, copies, data, of_doc, of_first): stretches of n windows from window ``first``.
     Of equal stretches in a block the first place holds the ``data`` and how many ``copies``
     there are; the others have no data and name that place."""
     per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "n", "hash")).alias("spans"))
-    own = text_rows(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    own = packed(docs.where("doc_id IS NOT NULL AND text IS NOT NULL"))
     joined = own.join(per_doc, "doc_id").select("doc_id", "text", "spans")
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -189,7 +205,7 @@ def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
             rows: list[list] = []
             places = set()
             for doc, text, spans in sorted(zip(*(c.to_pylist() for c in piece.columns)), key=lambda r: r[0]):
-                opened = kind.opened(text.encode("utf-8"))
+                opened = kind.opened(unpacked(text))
                 for s in sorted(spans, key=lambda s: s["first"]):
                     place = (doc, s["first"])
                     if place in places:  # a repeated row
@@ -250,8 +266,8 @@ def covered(windows: DataFrame) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, windows: DataFrame, finish: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """``finish`` over (doc_id, text, spans), a row for each of ``docs``."""
-    joined = text_rows(docs).join(covered(windows), F.col("doc_id") == F.col("of_id"), "left")
+    """``finish`` over (doc_id, packed text, spans), a row for each of ``docs``."""
+    joined = packed(docs).join(covered(windows), F.col("doc_id") == F.col("of_id"), "left")
     return map_batches(joined.select("doc_id", "text", "spans"), finish, schema)
 
 

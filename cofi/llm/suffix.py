@@ -174,7 +174,7 @@ def repeated_windows(rows: dict[str, list], length: int) -> tuple[list[int], lis
 def repeated(docs: DataFrame, kind: Bytes, parts: int | None, hot: int = repeats.HOT) -> DataFrame:
     """(doc_id, first, n): runs of the windows that also start earlier."""
     found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs))
-    stretches = materialize(repeats.segments(docs, found, kind), "suffix-stretches")
+    stretches = materialize(repeats.segments(docs, found, kind), "suffix-stretches", "zstd")
     length = kind.length
 
     def search(table: pa.Table) -> pa.Table:
@@ -199,7 +199,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
             ids, texts, spans = (c.to_pylist() for c in piece.columns)
             out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "spans", "kept")}
             for text, runs in zip(texts, spans):
-                raw = (text or "").encode("utf-8")
+                raw = repeats.unpacked(text)
                 gone = repeats.coverage(runs, length, len(raw))
                 edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
                 out["n_bytes"].append(len(raw))
