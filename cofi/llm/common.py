@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +46,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], s
 def pieces(batch: pa.RecordBatch, text_col: int = 1, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``max_bytes`` of text (one row at least), so the memory
     that a slice needs does not follow the number of rows in a batch."""
-    lengths = batch.column(text_col)
     start, size = 0, 0
-    import pyarrow.compute as pc
-    sizes = pc.fill_null(pc.binary_length(lengths), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
     for i, n in enumerate(sizes):
         if size and size + n > max_bytes:
             yield batch.slice(start, i - start)

@@ -18,6 +18,8 @@ rows, ties and null ids need no rule; extra columns pass through ``mask`` unchan
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,7 +230,6 @@ def _first_kind(m: Column, none: Column) -> Column:
 
 def _alone(kind: str) -> str:
     """The format without what it asks of its surroundings."""
-    import re
     return re.sub(r"\(\?<?!(?:[^()\[\]]|\[[^\]]*\])*\)", "", FORMATS[kind])
 
 

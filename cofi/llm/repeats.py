@@ -162,8 +162,7 @@ def candidates(docs: DataFrame, kind: Kind, parts: int) -> DataFrame:
         _, back, count = np.unique(asked["hash"], return_inverse=True, return_counts=True)
         found = np.concatenate([asked[(count[back] > 1) & (asked["local"] == 0)], items[items["local"] == 2]])
         return pa.table({"doc_id": found["doc"], "first": found["first"].astype(np.int32), "n": found["n"].astype(np.int32),
-                         "hash": found["hash"].view(np.int64) if found["hash"].flags.c_contiguous
-                         else np.ascontiguousarray(found["hash"]).view(np.int64)})
+                         "hash": np.ascontiguousarray(found["hash"]).view(np.int64)})
 
     sent = map_batches(text_rows(docs), send, "part INT, data BINARY")
     return sent.groupBy("part").applyInArrow(answer, "doc_id BIGINT, first INT, n INT, hash BIGINT")
