@@ -9,8 +9,15 @@ SHA-256 of the key, the kind, the round and the other half, which can be undone,
 different values of a format get different pseudonyms and equal values the same one in
 every document. Check digits are computed anew, so a pseudonym is valid in the same way.
 
-Kept as they are: separators, an email's top-level domain, a phone's separated country code,
-an IBAN's country, the first four letters of an access key, and values that do not validate.
+A value ends where it validates: cards, IBANs and phones that fail as far as their format
+reaches are tried up to each earlier gap (an IBAN first up to its country's length, otherwise
+the longest valid end wins), then as the next format, and then the places inside them are
+tried. A valid card in a card's grouping goes before other cards and phones that would begin
+in the numbers before it; a number so grouped that fails its Luhn sum holds no phone.
+
+Kept as they are: separators, an email's top-level domain, a phone's separated country code
+(after + or 00), an IBAN's country, the first four letters of an access key, and values that
+do not validate.
 
 Defined cases: a null text stays null with no findings; rows are independent, so repeated
 rows, ties and null ids need no rule; extra columns pass through ``mask`` unchanged.
@@ -39,11 +46,22 @@ FORMATS = {
     "date": r"(?<![\w.\-/])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\-/]?\w)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?!-?\w)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{2,4}[ .\-]\d{2,4}(?:[ .\-]\d{2,4})?(?![\w]|-\d)"
-             r"|(?<![\w+])\+\d{10,15}(?!\w)",
+             r"|(?<![\w+])\+\d{10,15}(?!\w)"
+             r"|(?<![\w+])(?:\+|00)[1-9]\d{0,2}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,8}(?:[ .\-]\d{2,8}){1,3}(?![\w]|-\d)",
     "card": r"(?<![\w])\d(?:[ \-]?\d){12,18}(?!\w)",
 }
 CARD_FIRST = ("email", "key", "iban", "ip", "date", "ssn", "card", "phone")
 ANY = "|".join(f"(?:{FORMATS[k]})" for k in CARD_FIRST)
+#: A number grouped as cards are.
+CARD_SHAPE = r"^[1-9]\d{3}(?:([ \-]?)\d{4}\1\d{4}\1\d{4}|([ \-]?)\d{6}\2\d{5})(?!\d)"
+#: Characters of an IBAN by country (ISO 13616 registry).
+IBAN_SIZES = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
+CHUNK = 256                          # places gone through at a time
+WITHIN = 24                          # places that a card or phone can hold behind its first
 #: Every format holds one of these; other texts need no further look.
 HINT = r"[0-9@]|AKIA"
 
@@ -165,22 +183,117 @@ def _jobs(kind: Column, m: Column) -> Column:
         .when(kind == "key", F.array(_char_job(F.regexp_replace(m, "^AKIA", ""),
                                                F.when(m.startswith("AKIA"), "key").otherwise("hex"), ~m.startswith("AKIA"))))
         .when(kind == "iban", let(F.regexp_replace(m, " ", ""), lambda x: one(
-            F.length(x).between(15, 34) & (remainder_97(F.concat(x.substr(F.lit(5), F.lit(99)), x.substr(F.lit(1), F.lit(4)))) == 1),
-            _char_job(x.substr(F.lit(5), F.lit(99)), F.concat(F.lit("iban"), x.substr(F.lit(1), F.lit(2))), no))))
+            _valid_iban(x), _char_job(x.substr(F.lit(5), F.lit(99)), F.concat(F.lit("iban"), x.substr(F.lit(1), F.lit(2))), no))))
         .when(kind == "ip", F.array(_number_job([F.get(octets, F.lit(i)) for i in range(4)], [256] * 4, "ip")))
         .when(kind == "date", let(F.datediff(_day(m), F.lit(FIRST_DAY).cast("date")), lambda n: one(
             n.between(0, span - 1), _number_job([F.floor(n / DAY_RADICES[1]), n % DAY_RADICES[1]], list(DAY_RADICES), "date"))))
         # area 001 to 899 without 666, group 01 to 99, serial 0001 to 9999
         .when(kind == "ssn", one(area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0), _number_job(
             [area - 1 - F.when(area > 666, 1).otherwise(0), group - 1, serial - 1], [898, 99, 9999], "ssn")))
-        .when(kind == "card", let(digits, lambda x: one(luhn_sum(x, 0) % 10 == 0, _char_job(
+        .when(kind == "card", let(digits, lambda x: one(_valid_card(x), _char_job(
             x.substr(F.lit(1), F.length(x) - 1), F.lit("card"), no))))
-        .when(kind == "phone", let(digits, lambda x: one(F.length(x).between(10, 15), _char_job(
-            x.substr(F.length(_country(m)) + 1, F.lit(15)), F.lit("phone"), no)))))
+        .when(kind == "phone", let(digits, lambda x: one(_valid_phone(x), _char_job(
+            x.substr(F.length(_country(m)) + 1, F.lit(17)), F.lit("phone"), no)))))
 
 
 def _country(m: Column) -> Column:
-    return F.regexp_extract(m, r"^\+(\d{1,3})[ .(\-]", 1)
+    return _digits(F.regexp_extract(m, r"^(?:\+\d{1,3}|00[1-9]\d{0,2})[ .(\-]", 0))
+
+
+def _valid_iban(x: Column) -> Column:
+    return F.length(x).between(15, 34) & (remainder_97(F.concat(x.substr(F.lit(5), F.lit(99)), x.substr(F.lit(1), F.lit(4)))) == 1)
+
+
+def _valid_card(digits: Column) -> Column:
+    return F.length(digits).between(13, 19) & (luhn_sum(digits, 0) % 10 == 0)
+
+
+def _valid_phone(digits: Column) -> Column:
+    """10 to 15 digits, not counting a 00 before the country code."""
+    return F.length(digits).between(10, F.when(digits.startswith("00"), 17).otherwise(15))
+
+
+def _ends(m: Column, gap: str) -> Column:
+    """``m``, and what is left of it before each ``gap``, the longest first."""
+    return F.transform(F.filter(F.sequence(F.length(m), F.lit(1)), lambda k: (k == F.length(m)) | F.regexp_like(
+        m.substr(k + 1, F.lit(1)), F.lit(gap))), lambda k: m.substr(F.lit(1), k))
+
+
+def _longest(m: Column, gap: str, valid) -> Column:
+    """The longest valid end of ``m``, or null."""
+    return F.when(valid(m), m).otherwise(F.get(F.filter(_ends(m, gap), valid), F.lit(0)))
+
+
+def _end_of(kind: str, m: Column) -> Column:
+    """The part of match ``m`` that validates, or null."""
+    if kind == "iban":
+        sizes = F.create_map(*[F.lit(x) for pair in IBAN_SIZES.items() for x in pair])
+        bare = lambda x: F.regexp_replace(x, " ", "")
+        own = F.filter(_ends(m, " "), lambda x: F.length(bare(x)) == F.try_element_at(sizes, m.substr(F.lit(1), F.lit(2))))
+        valid = lambda x: let(bare(x), _valid_iban)
+        return F.coalesce(F.get(F.filter(own, valid), F.lit(0)), _longest(m, " ", valid))
+    if kind == "card":
+        return _longest(m, r"[ \-]", lambda x: let(_digits(x), _valid_card))
+    return _longest(m, r"[ .]", lambda x: _valid_phone(_digits(x)) & F.regexp_like(x, F.lit(f"^(?:{_alone('phone')})$")))
+
+
+def _chosen(matches: Column, phones: Column) -> Column:
+    """ARRAY<STRUCT<kind, m, grouped>> per place: what validates there, or is kept whole (a date or
+    social security number that is none); ``grouped``: the length of a number that is grouped like
+    a card and is none. ``phones``: what the phone format matches at the same places."""
+    x = F.transform(matches, lambda m, i: F.struct(
+        m.alias("m"), _first_kind(m, F.lit(None).cast("string")).alias("kind"), F.get(phones, i).alias("phone")))
+    x = F.transform(x, lambda r: F.struct(r["m"].alias("m"), r["kind"].alias("kind"), r["phone"].alias("phone"), F.when(
+        r["kind"] == "iban", _end_of("iban", r["m"])).when(r["kind"] == "card", _end_of("card", r["m"])).when(
+        r["kind"] == "phone", _end_of("phone", r["m"])).otherwise(r["m"]).alias("own")))
+    x = F.transform(x, lambda r: F.struct(r["kind"].alias("kind"), r["own"].alias("own"), F.when(
+        (r["kind"] == "card") & r["own"].isNull(), r["phone"]).otherwise("").alias("phone"), F.when(
+        (r["kind"] == "card") & r["own"].isNull(), F.length(F.regexp_extract(r["m"], CARD_SHAPE, 0))).otherwise(0).alias("grouped")))
+    x = F.transform(x, lambda r: F.struct(r["kind"].alias("kind"), r["own"].alias("own"), r["grouped"].alias("grouped"), F.when(
+        (F.length(r["phone"]) > 0) & (r["grouped"] == 0), _end_of("phone", r["phone"])).alias("next")))
+    return F.transform(x, lambda r: F.struct(
+        F.when(r["own"].isNotNull(), r["kind"]).when(r["next"].isNotNull(), "phone").alias("kind"),
+        F.coalesce(r["own"], r["next"]).alias("m"), r["grouped"].alias("grouped")))
+
+
+def _covered(parts: Column, chosen: Column) -> Column:
+    """ARRAY<INT> per place, from left to right: twice the characters from there that a value covers
+    which begins there or before, plus one if it begins there. ``parts``: the text before the first
+    place and from each place to the next. In chunks, as an array that grows is copied at each step."""
+    spans = F.transform(chosen, lambda c, i: F.struct(
+        F.length(F.get(parts, i + 1)).alias("n"), F.coalesce(F.length(c["m"]), F.lit(0)).alias("size"),
+        F.coalesce(c["kind"] == "phone", F.lit(False)).alias("phone"), c["grouped"].alias("grouped"),
+        F.coalesce(c["kind"].isin("card", "phone"), F.lit(False)).alias("number"),
+        F.coalesce((c["kind"] == "card") & F.regexp_like(c["m"], F.lit(f"{CARD_SHAPE}$")), F.lit(False)).alias("sure")))
+
+    def before_sure(x: Column, i: Column, xs: Column) -> Column:
+        """Whether a card in a card's grouping begins inside ``x``, which is none."""
+        far = F.struct(x["n"].alias("at"), F.lit(False).alias("hit"))
+        return x["number"] & ~x["sure"] & F.aggregate(F.slice(xs, i + 2, WITHIN), far, lambda now, y: F.struct(
+            (now["at"] + y["n"]).alias("at"), (now["hit"] | (y["sure"] & (now["at"] < x["size"]))).alias("hit")))["hit"]
+
+    spans = let(spans, lambda xs: F.transform(xs, lambda x, i: F.struct(
+        x["n"].alias("n"), F.when(before_sure(x, i, xs), 0).otherwise(x["size"]).alias("size"),
+        x["phone"].alias("phone"), x["grouped"].alias("grouped"))))
+
+    def state(left: Column, grouped: Column, out: Column) -> Column:
+        return F.struct(left.cast("int").alias("left"), grouped.cast("int").alias("grouped"), out.alias("out"))
+
+    def step(now: Column, x: Column) -> Column:
+        free = now["left"] <= 0
+        begins = free & (x["size"] > 0) & ~(x["phone"] & (now["grouped"] > 0))
+        code = F.when(begins, 2 * x["size"] + 1).otherwise(2 * F.greatest(now["left"], F.lit(0)))
+        return let(code.cast("int"), lambda c: state(
+            F.floor(c / 2) - x["n"], F.greatest(now["grouped"], F.when(free, x["grouped"]).otherwise(0)) - x["n"],
+            F.concat(now["out"], F.array(c))))
+
+    def chunk(now: Column, xs: Column) -> Column:
+        none = F.array().cast("array<int>")
+        return let(F.aggregate(xs, state(now["left"], now["grouped"], none), step), lambda c: state(
+            c["left"], c["grouped"], F.concat(now["out"], F.array(c["out"]))))
+
+    chunks = let(spans, lambda s: F.transform(F.sequence(F.lit(1), F.size(s), F.lit(CHUNK)), lambda i: F.slice(s, i, CHUNK)))
+    return F.flatten(F.aggregate(chunks, state(F.lit(0), F.lit(0), F.array().cast("array<array<int>>")), chunk)["out"])
 
 
 def _render(kind: Column, m: Column, jobs: Column, new: Column) -> Column:
@@ -206,13 +319,10 @@ def _render(kind: Column, m: Column, jobs: Column, new: Column) -> Column:
 
 
 def pseudonyms_of(matches: Column, key: str) -> Column:
-    """ARRAY<STRUCT<kind, value>> for an array of matches: each one's kind (null if it does
+    """ARRAY<STRUCT<kind, value>> for an array of (m, kind): each one's kind (null if it does
     not validate) and what replaces it. Step by step over the array, so that each
     expression is written once."""
-    kind = F.lit(None).cast("string")
-    kinds = lambda m: _first_kind(m, kind)
-    x = F.transform(matches, lambda m: F.struct(m.alias("m"), kinds(m).alias("kind")))
-    x = F.transform(x, lambda r: F.struct(r["m"].alias("m"), r["kind"].alias("kind"), _jobs(r["kind"], r["m"]).alias("jobs")))
+    x = F.transform(matches, lambda r: F.struct(r["m"].alias("m"), r["kind"].alias("kind"), _jobs(r["kind"], r["m"]).alias("jobs")))
     x = F.transform(x, lambda r: F.struct(
         r["m"].alias("m"), r["kind"].alias("kind"), r["jobs"].alias("jobs"),
         F.transform(r["jobs"], lambda j: feistel(j["values"], j["radices"], key, j["kind"])).alias("new")))
@@ -240,18 +350,29 @@ def mask(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
 
 def _with_findings(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     """``docs`` with ``text_col`` replaced and the findings in a column of their own."""
-    found = F.when(F.regexp_like(F.col(text_col), F.lit(HINT)), pseudonyms_of(
-        F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)), key))
-    name = "_found"
-    while name in docs.columns:
-        name += "_"
-    x = docs.withColumn(name, found)
-    between = F.split(F.col(text_col), ANY, -1)
-    whole = F.array_join(F.transform(between, lambda p, i: F.concat(
-        p, F.coalesce(F.get(F.col(name), i)["value"], F.lit("")))), "")
-    new = F.when(F.size(F.coalesce(F.col(name), F.array())) > 0, whole).otherwise(F.col(text_col))
+    text = F.concat(F.lit(" "), F.col(text_col))  # so that no place is at the very start
+    some = F.regexp_like(F.col(text_col), F.lit(HINT))
+    names: list[str] = []
+    for name in ("_places", "_chosen", "_at", "_found"):
+        while name in docs.columns:
+            name += "_"
+        names.append(name)
+    places, chosen, at, found = map(F.col, names)
+    x = docs.withColumn(names[0], F.when(some, F.struct(
+        F.split(text, f"(?={ANY})", -1).alias("parts"),
+        F.regexp_extract_all(text, F.lit(f"(?=({ANY}))"), F.lit(1)).alias("matches"),
+        F.regexp_extract_all(text, F.lit(f"(?={ANY})(?=({FORMATS['phone']}|))"), F.lit(1)).alias("phones"))))
+    x = x.withColumn(names[1], F.when(F.size(places["matches"]) > 0, _chosen(places["matches"], places["phones"])))
+    x = x.withColumn(names[2], F.when(chosen.isNotNull(), _covered(places["parts"], chosen)))
+    x = x.withColumn(names[3], pseudonyms_of(F.transform(chosen, lambda c, i: F.when(
+        F.get(at, i) % 2 == 1, F.struct(c["m"].alias("m"), c["kind"].alias("kind")))), key))
+    code = lambda i: F.coalesce(F.get(at, i - 1), F.lit(0))
+    whole = F.array_join(F.transform(places["parts"], lambda p, i: F.concat(
+        F.when(code(i) % 2 == 1, F.get(found, i - 1)["value"]).otherwise(F.lit("")),
+        p.substr(F.floor(code(i) / 2).cast("int") + 1, F.length(p)))), "")
+    new = F.when(chosen.isNotNull(), whole.substr(F.lit(2), F.length(whole))).otherwise(F.col(text_col))
     return x.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                    F.col(name).alias("_findings"))
+                    found.alias("_findings"))
 
 
 def pseudonyms(docs: DataFrame, key: str) -> DataFrame:

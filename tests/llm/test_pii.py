@@ -116,3 +116,37 @@ def test_edges(spark, rows):
         assert got[1] is None and got[None] == "" and got[2] == "plain words only"
         assert len(got[3]) == 400_007 and not got[3].endswith("x@y.org") and got[3].endswith(".org")
     assert pii.pseudonyms(df, KEY).count() == len(rows)
+
+
+def test_values_end_where_they_validate(spark):
+    """Short numbers and words around a value do not hide it; a number that fails is left alone."""
+    def iban(m):
+        x = m.replace(" ", "")
+        account = permute(x[4:], "iban" + x[:2])
+        spelled = "".join(str(int(c, 36)) for c in account + x[:2] + "00")
+        it = iter(f"{x[:2]}{98 - int(spelled) % 97:02d}{account}")
+        return "".join(c if c == " " else next(it) for c in m)
+
+    c, c2 = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    phone = "0049 " + refill("170 1234567", permute("1701234567", "phone"))
+    es, be, at = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT611904300234573201"
+    cases = {f"{c} 123": f"{card(c)} 123", f"{c} 12/26": f"{card(c)} 12/26", f"card {c} 2 items": f"card {card(c)} 2 items",
+             f"1234 {c}": f"1234 {card(c)}", f"12 {c} 7": f"12 {card(c)} 7", f"AB12 {c}": f"AB12 {card(c)}",
+             f"{c} {c2}": f"{card(c)} {card(c2)}", f"{c2} 123-45": f"{card(c2)} 123-45",
+             f"{es} BIC": f"{iban(es)} BIC", f"{be} OK": f"{iban(be)} OK", f"{at} 2024": f"{iban(at)} 2024",
+             f"{at} {c}": f"{iban(at)} {card(c)}", f"{es} {be} OK": f"{iban(es)} {iban(be)} OK",
+             "0049 170 1234567": phone, f"0049 170 1234567, {c} 99": f"{phone}, {card(c)} 99",
+             "0170 1234 5678 2024": refill("0170 1234 5678 2024", permute("017012345678", "phone") + "2024"),
+             "+49 170 1234567": "+" + phone[2:],
+             "4111 1111 1111 1112": "4111 1111 1111 1112", "4111 1111 1111 1112 12": "4111 1111 1111 1112 12",
+             "4111-1111-1111-1112": "4111-1111-1111-1112", "ES92 2100 0418 4502 0005 1332 BIC": "ES92 2100 0418 4502 0005 1332 BIC"}
+    got, rows = masked(spark, list(cases))
+    assert got == list(cases.values())
+    assert [(r.n_card, r.n_iban, r.n_phone) for r in rows][6:13] == [
+        (2, 0, 0), (1, 0, 0), (0, 1, 0), (0, 1, 0), (0, 1, 0), (1, 1, 0), (0, 2, 0)]
+
+
+def test_many_places(spark):
+    """Long runs of numbers take time that grows with their length."""
+    got, _ = masked(spark, ["12 345 6 " * 20_000 + "; 4111 1111 1111 1111 123"])
+    assert got[0].endswith(f"; {card('4111 1111 1111 1111')} 123") and len(got[0]) == 180_025
