@@ -167,8 +167,10 @@ def repeated(docs: DataFrame, kind: Words, parts: int | None, hot: int = repeats
         doc, first, n = repeated_windows({c: table.column(c).to_pylist() for c in ("doc_id", "first", "copies", "data")}, length)
         return pa.table({"doc_id": pa.array(doc, pa.int64()), "first": pa.array(first, pa.int32()), "n": pa.array(n, pa.int32())})
 
-    within = repeats.shards(stretches, kind, parts, hot).groupBy("shard").applyInArrow(
-        search, "doc_id BIGINT, first INT, n INT")
+    dealt, alone = repeats.shards(stretches, kind, parts, hot)
+    within = dealt.groupBy("shard").applyInArrow(search, "doc_id BIGINT, first INT, n INT")
+    if alone is not None:
+        within = within.unionAll(repeats.repeated_alone(alone, later=False))
     return within.unionAll(stretches.where("data IS NULL").select("doc_id", "first", "n"))
 
 

@@ -10,10 +10,11 @@ anchor's hash does. That gives
    that a third of all documents holds is not sent to one task once per document. The
    answer is (doc_id, first window, number of windows) for every anchor whose hash repeats.
 2. ``segments``: for each of these the stretch of text its windows cover, equal stretches of
-   a block once (the others name the first). Windows of an anchor that is too frequent
-   for one task (more than ``hot`` stretches) travel alone and are routed by their own hash.
+   a block once (the others name the first).
 3. A shard of stretches, which all windows of its anchors meet in, is then searched
-   by the operator's own index, and
+   by the operator's own index. Of an anchor that is too frequent for one task (more than
+   ``hot`` stretches) every window counts on its own: equal windows have that anchor too, so an
+   aggregate by window finds all of them, merged before the shuffle, and
 4. ``covered`` gathers the windows found per document.
 
 Rows that repeat a doc_id are the same document; rows without one are left as they are, and
@@ -22,6 +23,7 @@ count as no other's source.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -224,33 +226,48 @@ def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
                                     "of_doc BIGINT, of_first INT")
 
 
-def shards(stretches: DataFrame, kind: Kind, parts: int | None = None, hot: int = HOT) -> DataFrame:
+def shards(stretches: DataFrame, kind: Kind, parts: int | None = None, hot: int = HOT) -> tuple[DataFrame, DataFrame | None]:
     """(shard, doc_id, first, n, copies, data): stretches with data, by the shard that all windows with
-    the same anchor meet in. Those of a hot anchor are dealt window by window. There are
-    as many shards as the stretches fill, so that a task's memory does not follow the input."""
+    the same anchor meet in, and (window, doc_id, first, copies): the places of the windows of hot
+    anchors, None if there are no such anchors. There are as many shards as the stretches fill,
+    so that a task's memory does not follow the input."""
     own = stretches.where("data IS NOT NULL")
     if parts is None:
         parts = 1 + (own.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // SHARD
     crowded = materialize(own.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select(
         F.col("hash").alias("hot")), "repeats-hot")
-    marked = own.join(crowded, F.col("hash") == F.col("hot"), "left")
     shard = F.pmod(F.hash("hash"), F.lit(parts)).alias("shard")
-    columns = ("doc_id", "first", "n", "copies", "data")
+    columns = (shard, "doc_id", "first", "n", "copies", "data")
+    if crowded.isEmpty():
+        return own.select(*columns), None
+    marked = own.join(crowded, F.col("hash") == F.col("hot"), "left")
+    many = marked.where("hot IS NOT NULL").select("doc_id", "data", "first", "n", "copies")
 
     def alone(batch: pa.RecordBatch) -> Iterator[dict]:
-        import xxhash
-        rows: dict[tuple, list] = {}
-        for h, doc, first, n, copies, data in zip(*(c.to_pylist() for c in batch.columns)):
-            for i in range(n):
-                w = kind.part(data, i)
-                row = rows.setdefault((w, doc, first + i), [xxhash.xxh64_intdigest(w, 0) % parts, doc, first + i, 1, 0, w])
-                row[4] += copies
-        cols = zip(*rows.values()) if rows else [[]] * 6
-        yield dict(zip(("shard", *columns), map(list, cols)))
-
-    rest = marked.where("hot IS NULL").select(shard, *columns)
-    many = marked.where("hot IS NOT NULL").select("hash", *columns)
-    return rest.unionAll(map_batches(many, alone, "shard INT, doc_id BIGINT, first INT, n INT, copies INT, data BINARY"))
+        for piece in pieces(batch, max_bytes=BLOCK >> 3):
+            rows = [(hashlib.blake2b(kind.part(data, i), digest_size=16).digest(), doc, first + i, copies)
+                    for doc, data, first, n, copies in zip(*(c.to_pylist() for c in piece.columns)) for i in range(n)]
+            yield dict(zip(("window", "doc_id", "first", "copies"), map(list, zip(*rows))))
+
+    return marked.where("hot IS NULL").select(*columns), materialize(
+        map_batches(many, alone, "window BINARY, doc_id BIGINT, first INT, copies INT"), "repeats-windows", "zstd")
+
+
+def equal_windows(places: DataFrame) -> DataFrame:
+    """(window, least): a row for each window at two places or more, and the first of them; partial
+    sums merge equal windows before the shuffle."""
+    return places.groupBy("window").agg(F.sum("copies").alias("c"), F.min(F.struct("doc_id", "first")).alias("least")).where(
+        "c > 1").select("window", "least")
+
+
+def repeated_alone(places: DataFrame, later: bool) -> DataFrame:
+    """(doc_id, first, n): the places of windows that are at two places or more; only ``later`` ones, or
+    all. A sort-merge join holds one row of a window at a time, and adaptive execution splits a
+    partition in which a window's many places meet."""
+    joined = places.join(equal_windows(places).hint("merge"), "window")
+    if later:
+        joined = joined.where(F.struct("doc_id", "first") > F.col("least"))
+    return joined.select("doc_id", "first", F.lit(1).alias("n"))
 
 
 def default_parts(docs: DataFrame) -> int:

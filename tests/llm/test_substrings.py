@@ -90,6 +90,29 @@ def test_bytes(spark, hot, parts):
     assert sum(x[1] for x in want.values()) > 8000
 
 
+def test_a_passage_of_many_documents_makes_no_large_group(spark):
+    """Each text around it is another, so none of its stretches are equal at its edges."""
+    r = random.Random(3)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, f"{' '.join(word() for _ in range(40))} {passage} {' '.join(word() for _ in range(40))}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(20)
+    for module, kind, plain, length in ((fm, fm.Words(), plain_words, 35), (suffix, suffix.Bytes(), plain_bytes, 100)):
+        found = repeats.candidates(df, kind, 3)
+        dealt, alone = repeats.shards(repeats.segments(df, found, kind), kind, 3, hot=5)
+        stretches: dict[int, dict[bytes, set]] = defaultdict(lambda: defaultdict(set))
+        for x in dealt.collect():
+            for k in range(x.n):
+                stretches[x.shard][kind.part(bytes(x.data), k)].add((x.doc_id, x.first + k))
+        assert all(len(places) <= 5 for shard in stretches.values() for places in shard.values())
+        windows = repeats.equal_windows(alone).collect()
+        assert len(windows) == len({bytes(x.window) for x in windows}) > 0
+        want = plain(rows, length)
+        for x in module.remove_repeats(df, parts=3, hot=5).collect():
+            assert (x[1], x.n_removed, bytes(x.kept)) == (want[x.doc_id][0], want[x.doc_id][1], want[x.doc_id][-1])
+        assert sum(x[1] for x in want.values()) > 0
+
+
 def test_whole_small_table(spark):
     """The registered queries' rows on the smallest documents."""
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
