@@ -195,10 +195,11 @@ def unpacked(text: bytes | None) -> bytes:
 def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
     """(hash, doc_id, first, n, copies, data, of_doc, of_first): stretches of n windows from window ``first``.
     Of equal stretches in a block the first place holds the ``data`` and how many ``copies``
-    there are; the others have no data and name that place."""
+    there are; the others have no data and name that place. Of rows that repeat a doc_id one is
+    cut: the join has brought them together, so dropping the others shuffles nothing more."""
     per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "n", "hash")).alias("spans"))
     own = packed(docs.where("doc_id IS NOT NULL AND text IS NOT NULL"))
-    joined = own.join(per_doc, "doc_id").select("doc_id", "text", "spans")
+    joined = own.join(per_doc, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "spans")
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in pieces(batch, max_bytes=BLOCK):
@@ -209,7 +210,7 @@ def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
                 opened = kind.opened(unpacked(text))
                 for s in sorted(spans, key=lambda s: s["first"]):
                     place = (doc, s["first"])
-                    if place in places:  # a repeated row
+                    if place in places:  # found once per row that repeats the doc_id
                         continue
                     places.add(place)
                     data = kind.cut(opened, s["first"], s["n"] + kind.length - 1)

@@ -113,6 +113,19 @@ def test_a_passage_of_many_documents_makes_no_large_group(spark):
         assert sum(x[1] for x in want.values()) > 0
 
 
+def test_repeated_rows_in_different_pieces(spark, monkeypatch):
+    """Equal rows are one document wherever a piece ends: what stands in it alone stays."""
+    monkeypatch.setattr(repeats, "BLOCK", 1)
+    rows = list(enumerate(texts(4)))
+    again = [rows[7], rows[8], rows[-1], rows[7]]
+    df = spark.createDataFrame([*again, *rows], "doc_id BIGINT, text STRING")
+    for module, plain in ((fm, plain_words(rows, 35)), (suffix, plain_bytes(rows, 100))):
+        got = module.remove_repeats(df, parts=3).collect()
+        assert len(got) == len(rows) + len(again)
+        for x in got:
+            assert (x[1], x.n_removed, bytes(x.kept)) == (*plain[x.doc_id][:2], plain[x.doc_id][-1])
+
+
 def test_whole_small_table(spark):
     """The registered queries' rows on the smallest documents."""
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
