@@ -38,6 +38,7 @@ from cofi.session import materialize
 BLOCK = 2 << 20    # bytes of text of a block
 CHUNK = 1 << 20    # windows looked at together; positions in a chunk need 24 bits
 SHARD = 2 << 20    # bytes of stretches of a shard, on average
+PART = 96 << 20    # bytes of text whose anchors one task counts, on average
 HOT = 20_000       # stretches of one anchor beyond which its windows are routed alone
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -272,8 +273,9 @@ def repeated_alone(places: DataFrame, later: bool) -> DataFrame:
 
 
 def default_parts(docs: DataFrame) -> int:
-    """As many parts as the session's shuffles have, which a user sets by the size of the input."""
-    return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """As many parts as the texts' anchors fill, and no fewer than the session's shuffles have."""
+    size = text_rows(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1 + size // PART, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def covered(windows: DataFrame) -> DataFrame:

@@ -126,6 +126,14 @@ def test_repeated_rows_in_different_pieces(spark, monkeypatch):
             assert (x[1], x.n_removed, bytes(x.kept)) == (*plain[x.doc_id][:2], plain[x.doc_id][-1])
 
 
+def test_parts_follow_the_texts(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "é" * 500) for i in range(100)], "doc_id BIGINT, text STRING")
+    assert repeats.default_parts(df) == 8
+    monkeypatch.setattr(repeats, "PART", 1000)
+    assert repeats.default_parts(df) == 101
+    assert repeats.default_parts(df.limit(0)) == 8
+
+
 def test_whole_small_table(spark):
     """The registered queries' rows on the smallest documents."""
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
