@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cofi.llm import bpe, ctph, fm, licenses, mixing, pii, quality, simhash, suffix, urls
+from cofi.llm import (
+    bpe, crosspoly, ctph, fm, hardneg, licenses, mixing, phrases, pii, quality, simhash, suffix, urls)
 from cofi.llm.common import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -59,9 +60,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspoly.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.registered(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pii_pseudonyms, op3_simhash, op4_ctph, op5_fm_substrings,
-                              op6_suffix_array, op7_quality_rules, op8_byte_bpe, op9_url_filters, op10_license_scan)}
+                              op6_suffix_array, op7_quality_rules, op8_byte_bpe, op9_url_filters, op10_license_scan,
+                              op11_embedding_neardup, op12_collocations, op13_hard_negatives)}
 
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.oracle_sql(), "op9_url_filters": urls.oracle_sql(),
-                              "op10_license_scan": licenses.oracle_sql()}
+                              "op10_license_scan": licenses.oracle_sql(), "op11_embedding_neardup": crosspoly.oracle_sql(),
+                              "op12_collocations": phrases.oracle_sql(), "op13_hard_negatives": hardneg.oracle_sql()}
