@@ -39,7 +39,7 @@ from cofi.session import materialize
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-WAVES = 5               # shares of a language's occurrences per wave: 1/16, 1/16, 1/8, 1/4, 1/2
+WAVES = 4               # shares of a language's occurrences per wave: 1/8, 1/8, 1/4, 1/2
 BITS_PER_ENTRY = 16
 LEAST_BITS, MOST_BITS = 1 << 15, 1 << 30  # of a bit map: 4 KB to 128 MB
 MAP_BITS = 32_768       # bits per row of Spark's bitmap_construct_agg
@@ -97,7 +97,8 @@ def chain(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 class BitMap:
-    """A set of hashes as bits, sent to every task; may say yes wrongly, never no."""
+    """A set of phrases and their first words as bits over hashes, sent to every task; may say yes
+    wrongly, never no."""
 
     def __init__(self, spark, n_bits: int, data: bytes):
         self.n_bits, self.shared = n_bits, spark.sparkContext.broadcast(data)
@@ -129,14 +130,14 @@ def bit_map(grams: DataFrame) -> BitMap | None:
             x = h[:1]
             for w in h[1:]:
                 x = chain(x, np.array([w]))
-            out.append(int(x[0] % np.uint64(n_bits)))
+            out += [int(x[0] % np.uint64(n_bits)), int(h[0] % np.uint64(n_bits))]
         yield {"at": pa.array(out, pa.int64())}
 
     at = map_batches(grams.select("lang", "phrase"), places, "at BIGINT")
     rows = at.groupBy(F.expr(f"at div {MAP_BITS}").alias("part")).agg(
         F.bitmap_construct_agg(F.expr(f"at % {MAP_BITS}")).alias("bits"))
     data = bytearray(n_bits // 8)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # at most MOST_BITS / MAP_BITS rows of 4 KB
         data[row["part"] * (MAP_BITS // 8):(row["part"] + 1) * (MAP_BITS // 8)] = row["bits"]
     return BitMap(spark, n_bits, bytes(data))
 
@@ -157,8 +158,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def blocks_of(docs: DataFrame, frequent: BitMap) -> DataFrame:
-    """(lang, vocabulary ARRAY<BINARY>, numbers BINARY): the texts, written; 32-bit numbers into the
-    vocabulary, -1 for a piece's end or a rare word."""
+    """(lang, vocabulary ARRAY<BINARY>, hashes BINARY, numbers BINARY): the texts, written; 32-bit numbers
+    into the vocabulary, -1 for a piece's end or a rare word."""
 
     def encode(batch: pa.RecordBatch) -> Iterator[dict]:
         for lang, texts in by_language(batch):
@@ -166,59 +167,58 @@ def blocks_of(docs: DataFrame, frequent: BitMap) -> DataFrame:
             if not len(words):
                 continue
             coded = words.dictionary_encode()
-            vocabulary = coded.dictionary.to_pylist()
-            good = frequent.has(hashes(lang, vocabulary))
+            h = hashes(lang, coded.dictionary.to_pylist())
+            good = frequent.has(h)
             to = np.where(good, np.cumsum(good) - 1, -1).astype(np.int32)
             numbers = to[np.asarray(coded.indices)]
             # a gap before each piece; runs of gaps become one
             numbers = np.insert(numbers, np.flatnonzero(new), -1)
             keep = (numbers >= 0) | np.concatenate([[True], numbers[:-1] >= 0])
-            yield {"lang": [lang], "vocabulary": [[w for w, g in zip(vocabulary, good) if g]],
-                   "numbers": [numbers[keep].astype("<i4").tobytes()]}
+            yield {"lang": [lang], "vocabulary": pa.array([coded.dictionary.filter(pa.array(good)).cast(pa.binary())], pa.list_(pa.binary())),
+                   "hashes": [h[good].astype("<u8").tobytes()], "numbers": [numbers[keep].astype("<i4").tobytes()]}
 
-    return materialize(map_batches(docs, encode, "lang STRING, vocabulary ARRAY<BINARY>, numbers BINARY"), "blocks")
+    return materialize(map_batches(docs, encode, "lang STRING, vocabulary ARRAY<BINARY>, hashes BINARY, numbers BINARY"), "blocks")
 
 
 class Block:
     """One block's words: their numbers, hashes and the phrases that begin at each place."""
 
-    def __init__(self, lang: str, vocabulary: list[bytes], numbers: bytes):
+    def __init__(self, lang: str, vocabulary: pa.Array, hashed: bytes, numbers: bytes):
         self.lang, self.vocabulary = lang, vocabulary
-        self.at = np.concatenate([np.frombuffer(numbers, "<i4"), np.full(LONGEST, -1, np.int32)]).astype(np.int64)
-        h = np.concatenate([hashes(lang, vocabulary), np.zeros(1, np.uint64)])  # the last for gaps (-1)
-        self.word = h[self.at]
-        self.n = len(self.at) - LONGEST
-
-    def phrases(self, length: int, starts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The places among ``starts`` from which ``length`` words follow without a gap, and the hash of
-        the phrase's first 1, 2, ... words there."""
-        for i in range(length):
+        self.at = np.concatenate([np.frombuffer(numbers, "<i4"), np.full(LONGEST, -1, np.int32)])
+        self.hash = np.frombuffer(hashed, "<u8")
+
+    def starts(self, wanted: BitMap) -> np.ndarray:
+        """The places of first words of ``wanted``: looked up once per word of the vocabulary."""
+        return np.flatnonzero(np.concatenate([wanted.has(self.hash), [False]])[self.at])
+
+    def phrases(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places among ``starts`` from which ``length`` words follow without a gap, and the hashes
+        of these phrases."""
+        for i in range(1, length):
             starts = starts[self.at[starts + i] >= 0]
-        out = [self.word[starts]]
+        out = self.hash[self.at[starts]]
         for i in range(1, length):
-            out.append(chain(out[-1], self.word[starts + i]))
+            out = chain(out, self.hash[self.at[starts + i]])
         return starts, out
 
     def numbered(self, length: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first, group): one place of each different phrase, and each place's phrase. Exact: phrases are
         told apart by their words' numbers, pair by pair."""
-        group = self.at[starts]
-        first = np.zeros(0, np.int64)
+        group, first = self.at[starts].astype(np.int64), np.zeros(0, np.int64)
         for i in range(1, length):
             _, first, group = np.unique(group * len(self.vocabulary) + self.at[starts + i], return_index=True, return_inverse=True)
-        if length == 1:
-            _, first, group = np.unique(group, return_index=True, return_inverse=True)
         return starts[first], group
 
     def text(self, length: int, first: np.ndarray) -> pa.Array:
-        words = pa.array(self.vocabulary, pa.binary())
-        parts = [words.take(pa.array(self.at[first + i])) for i in range(length)]
-        return (pc.binary_join_element_wise(*parts, b" ") if length > 1 else parts[0]).cast(pa.string())
+        parts = [self.vocabulary.take(pa.array(self.at[first + i])) for i in range(length)]
+        return pc.binary_join_element_wise(*parts, b" ").cast(pa.string())
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[Block]:
+    lists = batch.column(1)
     for i in range(batch.num_rows):
-        yield Block(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+        yield Block(batch.column(0)[i].as_py(), lists[i].values, batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
 
 
 def grown(blocks: DataFrame, length: int, prefix: DataFrame, prefixes: BitMap, least: int) -> DataFrame:
@@ -227,8 +227,8 @@ def grown(blocks: DataFrame, length: int, prefix: DataFrame, prefixes: BitMap, l
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
         for b in _blocks(batch):
-            starts, h = b.phrases(length, np.arange(b.n))
-            starts = starts[prefixes.has(h[-2])]
+            starts, h = b.phrases(b.starts(prefixes), length - 1)
+            starts, _ = b.phrases(starts[prefixes.has(h)], length)
             if len(starts):
                 first, group = b.numbered(length, starts)
                 yield {"lang": [b.lang] * len(first), "phrase": b.text(length, first), "a": np.bincount(group, minlength=len(first))}
@@ -251,9 +251,10 @@ def counted(blocks: DataFrame, asked: DataFrame) -> DataFrame | None:
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
         for b in _blocks(batch):
+            begin = b.starts(wanted)
             for length in lengths:
-                starts, h = b.phrases(length, np.arange(b.n))
-                starts = starts[wanted.has(h[-1])]
+                starts, h = b.phrases(begin, length)
+                starts = starts[wanted.has(h)]
                 if len(starts):
                     first, group = b.numbered(length, starts)
                     yield {"lang": [b.lang] * len(first), "phrase": b.text(length, first),
@@ -276,13 +277,14 @@ def extended(blocks: DataFrame, asked: DataFrame) -> DataFrame | None:
 
     def look(batch: pa.RecordBatch) -> Iterator[dict]:
         for b in _blocks(batch):
-            words = np.array([*b.vocabulary, b""], dtype=object)
+            begin = b.starts(wanted)
+            words = np.array([*b.vocabulary.to_pylist(), b""], dtype=object)
             order = np.argsort(words, kind="stable")
             place = np.empty(len(words), np.int64)
             place[order] = np.arange(len(words))  # of a word among the sorted; the empty word is number -1, the least
             for length in lengths:
-                starts, h = b.phrases(length, np.arange(b.n))
-                starts = starts[wanted.has(h[-1])]
+                starts, h = b.phrases(begin, length)
+                starts = starts[wanted.has(h)]
                 if not len(starts):
                     continue
                 first, group = b.numbered(length, starts)
@@ -326,7 +328,7 @@ def scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> DataF
 
 def frontier(words: DataFrame, totals: DataFrame) -> DataFrame:
     """(lang, phrase, n, bound, wave): the frequent words as first words, rarest (best bound) first; words of one
-    count are in one wave. A wave ends at 1/16, 1/8, ... of the language's occurrences."""
+    count are in one wave. A wave ends at 1/8, 1/4, ... of the language's occurrences."""
     per_count = words.groupBy("lang", "n").agg(F.sum("n").alias("mass"))  # one row per different count
     order = Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     share = F.sum("mass").over(order) / F.col("total")
