@@ -6,7 +6,12 @@ the ranking is by similarity descending over all candidates, where the n_zero =
 n_candidates - stored candidates sit at 0: a stored neighbour's rank is its position among
 the stored edges (similarity desc, neighbour id asc), plus n_zero when it is negative.
 
-Ranking does not sort every edge. A per-user histogram of similarity buckets (a grouped
+The graph of all users is cut while its pairs are summed: ``partial_lists`` keeps the k best edges
+per user (and part, e.g. bin) before and after the shuffle by user, and counts what it saw, which
+the ranks of negative edges need; ``merged`` unites the lists and cuts them again. No pair table is
+written: at most k edges per user and part, and one count.
+
+``top_k`` ranks a written edge table and does not sort every edge. A per-user histogram of similarity buckets (a grouped
 count, combined map-side) gives the bucket that holds the k-th candidate; only edges at or
 above it are sorted. Every edge ranked above a kept edge is kept too, so the ranks are
 exact, and a user with a huge neighbourhood sorts about k rows plus one bucket.
@@ -77,14 +82,46 @@ def top_k(edges: DataFrame, k: int, n_candidates, user: str = "u", nbr: str = "v
             .where(F.col("rank") <= k))
 
 
-def knn_graph(rhat: DataFrame, k: int, n_candidates: Column, **block) -> DataFrame:
-    """Exact kNN graph on adjusted cosine from preprocessed ratings.
+def partial_lists(edges: DataFrame, k: int, part: list[str] | None = None, name: str = "partial_lists") -> DataFrame:
+    """(user_id, neighbor_id, sim, *part, _stored), written: per user and ``part`` at most the k best edges,
+    and one row without a neighbour that holds their number before the cut.
 
-    The non-zero pair table is written once: the ranking and the per-user edge counts
-    both read it, instead of each re-running the self-join.
+    ``edges`` (u, v, sim, *part) holds non-zero similarities in both directions. It is read twice in one
+    job, so a shuffle it ends in is computed once and reused. The limit on the window is applied
+    before the shuffle by user too (for k up to spark.sql.optimizer.windowGroupLimitThreshold).
     """
-    pairs = materialize(cosine_pairs(rhat, **block), "pairs")
-    return top_k(symmetrize(pairs), k, n_candidates)
+    part = part or []
+    e = edges.select(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"), "sim", *part)
+    w = Window.partitionBy("user_id", *part).orderBy(round_key("sim", RANK_DIGITS).desc(), "neighbor_id")
+    lists = e.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    counts = e.groupBy("user_id", *part).agg(F.count(F.lit(1)).alias("_stored"))
+    none = lambda t: F.lit(None).cast(t)
+    return materialize(
+        lists.select("user_id", "neighbor_id", "sim", *part, none("bigint").alias("_stored")).unionAll(
+            counts.select("user_id", none("bigint"), none("double"), *part, "_stored")), name)
+
+
+def merged(lists: DataFrame, k: int, n_candidates) -> DataFrame:
+    """(user_id, neighbor_id, sim, rank): the k best of each user's ``partial_lists``. The parts of a user hold
+    different neighbours. ``n_candidates`` as in ``top_k``."""
+    stored = lists.where("neighbor_id IS NULL").groupBy("user_id").agg(F.sum("_stored").alias("_stored"))
+    if isinstance(n_candidates, DataFrame):
+        stored = stored.join(n_candidates.select("user_id", F.col("n_cand").alias("_cand")), "user_id")
+    else:
+        stored = stored.withColumn("_cand", n_candidates)
+    key = round_key("sim", RANK_DIGITS)
+    w = Window.partitionBy("user_id").orderBy(key.desc(), "neighbor_id")
+    best = (lists.where("neighbor_id IS NOT NULL").select("user_id", "neighbor_id", "sim")
+            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k))
+    zero = F.when(key < 0, F.col("_cand") - F.col("_stored")).otherwise(F.lit(0))
+    return (best.join(stored, "user_id")
+            .select("user_id", "neighbor_id", "sim", (F.col("_rn") + zero).cast("bigint").alias("rank"))
+            .where(F.col("rank") <= k))
+
+
+def knn_graph(rhat: DataFrame, k: int, n_candidates: Column, **block) -> DataFrame:
+    """Exact kNN graph on adjusted cosine from preprocessed ratings."""
+    return merged(partial_lists(symmetrize(cosine_pairs(rhat, **block)), k), k, n_candidates)
 
 
 def knn_from_ratings(train: DataFrame, k: int, n_candidates: Column | None = None,

@@ -22,25 +22,29 @@ NOISE = 1e-12  # a sum this small against the sum of its terms' sizes is roundin
 
 
 def co_rated_pairs(df: DataFrame, keys: list[str], value: str | None = None,
-                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   block_rows: int = DEFAULT_BLOCK_ROWS, apart: list[str] | None = None) -> DataFrame:
     """Rows (u, v, *keys, a, b) for every pair u < v sharing ``keys``.
 
     ``df`` has ``user_id``, the key columns and optionally ``value``; ``a`` and ``b`` are the
     two users' values (1.0 when ``value`` is None). Callers aggregate by (u, v); Spark
-    pipelines that partial aggregate into the join stage.
+    pipelines that partial aggregate into the join stage. ``apart`` names bit masks of a row:
+    two rows that have a bit in common form no pair (part of the join's condition).
     """
     val = F.col(value) if value else F.lit(1.0)
-    base = df.select("user_id", *keys, val.alias("_val"))
+    masks = range(len(apart or []))
+    base = df.select("user_id", *keys, val.alias("_val"), *[F.col(c).alias(f"_m{i}") for i, c in enumerate(apart or [])])
     sizes = base.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_nb"))
     base = base.join(sizes, keys).withColumn("_blk", F.pmod(F.xxhash64("user_id"), F.col("_nb")).cast("int"))
     left = base.select(*keys, F.col("user_id").alias("_u"), F.col("_val").alias("a"),
-                       F.col("_blk").alias("_ub"),
+                       F.col("_blk").alias("_ub"), *[F.col(f"_m{i}").alias(f"_mu{i}") for i in masks],
                        F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_vb"))
     right = base.select(*keys, F.col("user_id").alias("_v"), F.col("_val").alias("b"),
-                        F.col("_blk").alias("_vb"))
+                        F.col("_blk").alias("_vb"), *[F.col(f"_m{i}").alias(f"_mv{i}") for i in masks])
     # merge: the output is far larger than either side, so neither is worth broadcasting
     joined = left.hint("merge").join(right, keys + ["_vb"]).where(
         (F.col("_ub") < F.col("_vb")) | (F.col("_u") < F.col("_v")))
+    for i in masks:
+        joined = joined.where(F.col(f"_mu{i}").bitwiseAND(F.col(f"_mv{i}")) == 0)
     # Across blocks the pair can come out as (larger, smaller): order it.
     swap = F.col("_u") > F.col("_v")
     return joined.select(F.least("_u", "_v").alias("u"), F.greatest("_u", "_v").alias("v"), *keys,

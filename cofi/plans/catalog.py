@@ -429,8 +429,7 @@ def q_pred_knn_approx(spark, sf):
 
 def q_mae_by_replication(spark, sf):
     fx = Fixture(spark, sf, "e", shared=True)
-    pairs = materialize(similarity.cosine_pairs(fx.rhat), "pairs_e")
-    g = approx.replication_sweep_graph(pairs, fx.users, K_SWEEP, PARTITIONS, REPLICATIONS)
+    g = approx.replication_sweep_graph(fx.rhat, fx.users, K_SWEEP, PARTITIONS, REPLICATIONS)
     p = predict.pred_weighted_per(fx.train, fx.test, fx.dev, g, "replication", REPLICATIONS)
     return p.groupBy("replication").agg(
         R(F.avg(F.abs(F.col("rating") - F.col("prediction")))).alias("mae"))

@@ -63,14 +63,40 @@ def test_user_bins_shape(ev):
 
 
 def test_approx_pairs_subset_of_exact(ev):
-    bins = approx.user_bins(ev.users, 6, 2)
-    ap = {(r.u, r.v): r.sim for r in approx.approx_pairs(ev.rhat, bins).collect()}
+    """Every pair that shares a bin, once, in the lowest bin it shares, with its exact similarity."""
+    bins = approx.user_bins(ev.users, 6, 3)
+    of = {}
+    for r in bins.collect():
+        of.setdefault(r.user_id, set()).add(r.bin)
+    rows = approx.bin_pairs(ev.rhat, bins, 6).collect()
+    ap = {(r.u, r.v): r.sim for r in rows}
     ex = {(r.u, r.v): r.sim for r in similarity.cosine_pairs(ev.rhat).collect()}
-    assert set(ap) <= set(ex)
+    assert len(ap) == len(rows) and set(ap) == {(u, v) for u, v in ex if of[u] & of[v]}
+    assert all(r.bin == min(of[r.u] & of[r.v]) for r in rows)
     for k, v in ap.items():
         assert v == pytest.approx(ex[k], abs=1e-12)
 
 
+@pytest.mark.parametrize("k", [1, 4])
+def test_lists_are_cut_before_the_merge(ev, k):
+    """At most k edges per user and bin are written, and one count; their merge is the graph."""
+    bins = approx.user_bins(ev.users, 4, 3)
+    lists = approx.bin_lists(ev.rhat, bins, k, 4)
+    per = lists.groupBy("user_id", "bin").agg(F.count("neighbor_id").alias("n"), F.max("_stored").alias("stored"),
+                                              F.count("_stored").alias("counts")).collect()
+    assert all(r.n == min(k, r.stored) and r.counts == 1 for r in per) and any(r.stored > k for r in per)
+    assert lists.where("neighbor_id IS NOT NULL").count() <= k * 3 * ev.users.count()
+
+
+def test_exact_graph_writes_no_pair_table(ev, monkeypatch):
+    written = []
+    keep = knn.materialize
+    monkeypatch.setattr(knn, "materialize", lambda df, name="", **how: written.append((name, keep(df, name, **how))) or written[-1][1])
+    knn.knn_graph(ev.rhat, 3, F.lit(ev.users.count() - 1)).collect()
+    assert [n for n, _ in written] == ["partial_lists"]
+    assert written[0][1].where("neighbor_id IS NOT NULL").groupBy("user_id").count().agg(F.max("count")).first()[0] == 3
+
+
 def test_uniform_equals_baseline_shape(ev):
     """Averages stay inside the rating scale."""
     ua = stats.user_avg(ev.train).agg(F.min("user_avg"), F.max("user_avg")).first()
@@ -102,9 +128,9 @@ def test_top_k_against_brute_force(spark, ev, k):
     assert got == want
 
 
-@pytest.mark.parametrize("partitions,replication", [(6, 2), (5, 4), (70, 3), (4, 4)])
+@pytest.mark.parametrize("partitions,replication", [(6, 2), (5, 4), (70, 3), (4, 4), (64, 16)])
 def test_candidate_counts(ev, partitions, replication):
-    """Inclusion and exclusion against every pair of users; the sweep's masks beyond one number of bins."""
+    """Unions of bit maps against every pair of users; the sweep's masks beyond one number of bins."""
     bins = approx.user_bins(ev.users, partitions, replication)
     of = {}
     for r in bins.collect():
@@ -115,8 +141,7 @@ def test_candidate_counts(ev, partitions, replication):
 
 def test_sweep_masks_of_many_bins(ev, monkeypatch):
     """The same graph whether the bins fit one mask number or need several."""
-    pairs = similarity.cosine_pairs(ev.rhat)
-    graph = lambda: {tuple(r) for r in approx.replication_sweep_graph(pairs, ev.users, 4, 9, [1, 3])
+    graph = lambda: {tuple(r) for r in approx.replication_sweep_graph(ev.rhat, ev.users, 4, 9, [1, 3])
                      .select("user_id", "neighbor_id", "replication", "rank").collect()}
     one = graph()
     monkeypatch.setattr(approx, "MASK_BITS", 2)
@@ -140,12 +165,13 @@ def test_sweep_ranking_equals_per_level_top_k(ev, k):
 
     pairs = similarity.cosine_pairs(ev.rhat)
     levels = [1, 2, 3, 5]
-    got = {tuple(r) for r in approx.replication_sweep_graph(pairs, ev.users, k, 6, levels)
+    got = {tuple(r) for r in approx.replication_sweep_graph(ev.rhat, ev.users, k, 6, levels)
            .select("user_id", "neighbor_id", "replication", "rank").collect()}
     want = set()
     for r in levels:
         bins = approx.user_bins(ev.users, 6, r)
-        shared = approx.approx_pairs(ev.rhat, bins)
+        both = bins.select(F.col("user_id").alias("u"), "bin").join(bins.select(F.col("user_id").alias("v"), "bin"), "bin")
+        shared = pairs.join(both.select("u", "v").distinct(), ["u", "v"])
         sets = bins.groupBy("user_id").agg(F.sort_array(F.collect_list("bin")).alias("bins"))
         g = knn.top_k(symmetrize(shared), k, approx.candidates(sets))
         want |= {(x.user_id, x.neighbor_id, r, x.rank) for x in g.collect()}
