@@ -157,9 +157,9 @@ def repeated_windows(rows: dict[str, list], length: int) -> tuple[list[int], lis
     return tuple(map(list, zip(*out))) if out else ([], [], [])
 
 
-def repeated(docs: DataFrame, kind: Words, parts: int | None, hot: int = repeats.HOT) -> DataFrame:
+def repeated(docs: DataFrame, kind: Words, parts: int | None, hot: int = repeats.HOT, size: int | None = None) -> DataFrame:
     """(doc_id, first, n): runs of the windows that start at two places or more."""
-    found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs))
+    found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs, size))
     stretches = materialize(repeats.segments(docs, found, kind), "fm-stretches", "zstd")
     length = kind.length
 
@@ -179,7 +179,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     """(doc_id, n_words, n_removed, spans ARRAY<STRUCT<start, end>>, kept BINARY) per row of ``docs``: the
     removed ranges of words and the others, joined by one space."""
     kind = Words(length, gram)
-    windows = repeated(docs, kind, parts, hot)
+    docs, names, size = repeats.told_apart(docs)
+    windows = repeated(docs, kind, parts, hot, size)
 
     def finish(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in pieces(batch, max_bytes=repeats.BLOCK):
@@ -195,8 +196,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
                 out["kept"].append(b" ".join([w for w, g in zip(words, gone) if not g] if len(edge) else words))
             yield {"doc_id": ids} | out
 
-    return repeats.with_spans(docs, windows, finish, "doc_id BIGINT, n_words BIGINT, n_removed BIGINT, "
-                                                     "spans ARRAY<STRUCT<start: BIGINT, end: BIGINT>>, kept BINARY")
+    return repeats.named(repeats.with_spans(docs, windows, finish, "doc_id BIGINT, n_words BIGINT, n_removed BIGINT, "
+                                                     "spans ARRAY<STRUCT<start: BIGINT, end: BIGINT>>, kept BINARY"), names)
 
 
 def digest(docs: DataFrame) -> DataFrame:

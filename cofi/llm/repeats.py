@@ -17,7 +17,8 @@ anchor's hash does. That gives
    aggregate by window finds all of them, merged before the shuffle, and
 4. ``covered`` gathers the windows found per document.
 
-Rows that repeat a doc_id are the same document; rows without one are left as they are, and
+Rows that repeat a doc_id and its text are the same document, rows with one doc_id and different
+texts are documents of their own (the least text hash counts as the earlier); rows without one are left as they are, and
 count as no other's source.
 """
 
@@ -29,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cofi.llm.common import map_batches, pieces, text_rows
@@ -196,7 +197,7 @@ def unpacked(text: bytes | None) -> bytes:
 def segments(docs: DataFrame, found: DataFrame, kind: Kind) -> DataFrame:
     """(hash, doc_id, first, n, copies, data, of_doc, of_first): stretches of n windows from window ``first``.
     Of equal stretches in a block the first place holds the ``data`` and how many ``copies``
-    there are; the others have no data and name that place. Of rows that repeat a doc_id one is
+    there are; the others have no data and name that place. Of rows that repeat a document one is
     cut: the join has brought them together, so dropping the others shuffles nothing more."""
     per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "n", "hash")).alias("spans"))
     own = packed(docs.where("doc_id IS NOT NULL AND text IS NOT NULL"))
@@ -272,12 +273,46 @@ def repeated_alone(places: DataFrame, later: bool) -> DataFrame:
     return joined.select("doc_id", "first", F.lit(1).alias("n"))
 
 
-def default_parts(docs: DataFrame) -> int:
+def default_parts(docs: DataFrame, size: int | None = None) -> int:
     """As many parts as the texts' anchors fill, and no fewer than the session's shuffles have."""
-    size = text_rows(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size is None:
+        size = text_rows(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(1 + size // PART, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def told_apart(docs: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+    """(docs, names, bytes of text). A document is a doc_id with a text: rows that repeat both are one, rows
+    with one doc_id and different texts are documents of their own, the least text hash first. If there
+    are such rows, every document gets a dense number in that order in place of its doc_id, and ``names``
+    (number, named) leads back; else ``docs`` stays as it is and ``names`` is None."""
+    rows = text_rows(docs).withColumn("digest", F.xxhash64("text"))
+    per = materialize(rows.groupBy("doc_id").agg(
+        F.sum(F.octet_length("text")).alias("size"), (F.min("digest") != F.max("digest")).alias("differ")), "repeats-documents")
+    size, differ = per.agg(F.sum("size"), F.max(F.col("differ") & F.col("doc_id").isNotNull())).first()
+    if not differ:
+        return docs, None, size or 0
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(rows.where("doc_id IS NOT NULL").select("doc_id", "digest").distinct()
+                         .repartitionByRange(n, "doc_id", "digest").withColumn("p", F.spark_partition_id()), "repeats-ranges")
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offset = ranged.groupBy("p").agg(F.count(F.lit(1)).alias("c")).select("p", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("off"))
+    local = Window.partitionBy("p").orderBy("doc_id", "digest")
+    names = materialize(ranged.join(offset, "p").select(
+        (F.col("off") + F.row_number().over(local)).cast("bigint").alias("number"), F.col("doc_id").alias("named"),
+        F.col("digest").alias("of_digest")), "repeats-numbers")
+    on = (F.col("doc_id") == F.col("named")) & (F.col("digest") == F.col("of_digest"))
+    return (rows.join(names, on, "left").select(F.col("number").alias("doc_id"), "text"),
+            names.select("number", "named"), size or 0)
+
+
+def named(rows: DataFrame, names: DataFrame | None) -> DataFrame:
+    """``rows`` under their own doc_id again."""
+    if names is None:
+        return rows
+    columns = [F.col("named").alias("doc_id") if c == "doc_id" else F.col(c) for c in rows.columns]
+    return rows.join(names, rows["doc_id"] == names["number"], "left").select(*columns)
+
+
 def covered(windows: DataFrame) -> DataFrame:
     """(doc_id, spans): per document the found windows as (first, n) runs; a list no longer than its
     document."""

@@ -214,30 +214,49 @@ def centre_links(crowd: DataFrame, distance: int) -> DataFrame:
         F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def groups(docs: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) per row of ``docs``."""
+def _rooted(docs: DataFrame, distance: int, dense: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) per row of ``docs``; ``root`` is a fingerprint of the component."""
     fps = materialize(fingerprints(docs), "simhash-fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), distance, dense))
     of = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     named = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = of.join(named, "root").select(F.col("fp").alias("of_fp"), "component_id")
-    return fps.join(of, F.col("fp") == F.col("of_fp")).select(
+    of = of.join(named, "root").select(F.col("fp").alias("of_fp"), "root", "component_id")
+    return fps.join(of, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "root", "component_id")
+
+
+def groups(docs: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) per row of ``docs``."""
+    return _rooted(docs, distance, dense).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document that names it, once.
-    A row without a doc_id stays: no copy can name it."""
-    of = materialize(groups(docs, distance, dense).select(F.col("doc_id").alias("of_id"), "component_id"),
+    """The rows of ``docs`` that stay: of each component one row, of the least (doc_id, fingerprint).
+    A row without a doc_id stays: no copy can name it. Rows that share a doc_id but not a fingerprint
+    are documents of their own: each is judged by its own component."""
+    of = materialize(_rooted(docs, distance, dense).withColumnRenamed("doc_id", "of_id").where("of_id IS NOT NULL"),
                      "simhash-groups")
-    # this list grows with the documents, so it is joined in the same way at every size
+    # these lists grow with the documents, so they are joined in the same way at every size
     gone = of.where("of_id <> component_id").select("of_id").distinct().hint("merge")
-    kept = docs.join(gone, docs["doc_id"].cast("bigint") == gone["of_id"], "left_anti")
-    again = of.where("of_id = component_id").groupBy("of_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if again.isEmpty():
-        return kept
-    again = materialize(again.select("of_id"), "simhash-repeated")  # ids that rows repeat: one row of each
-    on = docs["doc_id"].cast("bigint") == again["of_id"]
-    return kept.join(again, on, "left_anti").unionAll(kept.join(again, on, "left_semi").dropDuplicates(["doc_id"]))
+    own = docs["doc_id"].cast("bigint")
+    many = of.groupBy("of_id").agg(F.count(F.lit(1)).alias("n"), (F.min("fp") != F.max("fp")).alias("mixed")).where("n > 1")
+    many = materialize(many.select("of_id", "mixed"), "simhash-repeated")  # ids that rows repeat
+    if many.isEmpty():
+        return docs.join(gone, own == gone["of_id"], "left_anti")
+    single = docs.join(many, own == many["of_id"], "left_anti")
+    kept = single.join(gone, single["doc_id"].cast("bigint") == gone["of_id"], "left_anti")
+    same = many.where("NOT mixed").join(gone, "of_id", "left_anti")
+    kept = kept.unionAll(docs.join(same, own == same["of_id"], "left_semi").dropDuplicates(["doc_id"]))
+    # rows whose doc_id has several fingerprints: one row of each component's least pair
+    pairs = of.groupBy("root").agg(F.min(F.struct("of_id", "fp")).alias("least")).select(
+        F.col("least.of_id").alias("_least_id"), F.col("least.fp").alias("_least_fp"))
+    mixed = many.where("mixed")
+    rows = docs.join(mixed, own == mixed["of_id"], "left_semi")
+    key = F.xxhash64(rows["doc_id"].cast("bigint"), rows["text"])
+    marked = fingerprints(rows.select(key.alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_row_key"), F.col("fp").alias("_row_fp")).distinct()
+    stay = (rows.join(marked, key == marked["_row_key"])
+            .join(pairs, (rows["doc_id"].cast("bigint") == pairs["_least_id"]) & (F.col("_row_fp") == pairs["_least_fp"])))
+    return kept.unionAll(stay.dropDuplicates(["doc_id", "_row_fp"]).drop("_row_key", "_row_fp", "_least_id", "_least_fp"))

@@ -171,9 +171,9 @@ def repeated_windows(rows: dict[str, list], length: int) -> tuple[list[int], lis
     return docs, firsts, ns
 
 
-def repeated(docs: DataFrame, kind: Bytes, parts: int | None, hot: int = repeats.HOT) -> DataFrame:
+def repeated(docs: DataFrame, kind: Bytes, parts: int | None, hot: int = repeats.HOT, size: int | None = None) -> DataFrame:
     """(doc_id, first, n): runs of the windows that also start earlier."""
-    found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs))
+    found = repeats.candidates(docs, kind, parts or repeats.default_parts(docs, size))
     stretches = materialize(repeats.segments(docs, found, kind), "suffix-stretches", "zstd")
     length = kind.length
 
@@ -194,7 +194,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     """(doc_id, n_bytes, n_removed, spans ARRAY<STRUCT<start, end>>, kept BINARY) per row of ``docs``:
     the removed byte ranges and what is left."""
     kind = Bytes(length, gram)
-    windows = repeated(docs, kind, parts, hot)
+    docs, names, size = repeats.told_apart(docs)
+    windows = repeated(docs, kind, parts, hot, size)
 
     def finish(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in pieces(batch, max_bytes=repeats.BLOCK):
@@ -210,8 +211,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
                 out["kept"].append(np.frombuffer(raw, np.uint8)[~gone].tobytes() if len(edge) else raw)
             yield {"doc_id": ids} | out
 
-    return repeats.with_spans(docs, windows, finish, "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, "
-                                                     "spans ARRAY<STRUCT<start: BIGINT, end: BIGINT>>, kept BINARY")
+    return repeats.named(repeats.with_spans(docs, windows, finish, "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, "
+                                                     "spans ARRAY<STRUCT<start: BIGINT, end: BIGINT>>, kept BINARY"), names)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -97,3 +97,12 @@ def test_thresholds_pass_over_common_values():
 
 def test_empty(spark):
     assert simhash.groups(spark.createDataFrame([], "doc_id BIGINT, text STRING")).count() == 0
+
+
+def test_rows_that_share_a_doc_id_but_not_a_text(spark):
+    """Each is judged by its own component: nothing that has no copy goes."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, c), (8, b), (None, a), (9, None), (9, "only this")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id BIGINT, text STRING, `a.b` STRING")
+    kept = sorted(((r[0], r[1]) for r in simhash.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(3, a), (5, b), (7, c), (None, a), (9, None), (9, "only this")], key=str)

@@ -183,3 +183,22 @@ def test_anchors_cover_every_window_and_depend_on_it_alone(monkeypatch):
             for d, f, n, h in found:
                 for j in range(n):
                     assert of.setdefault(docs[d][f + j:f + j + 20].tobytes(), h) == h
+
+
+@pytest.mark.parametrize("other", ["short", None, "", "LONG"])
+def test_one_doc_id_with_different_texts(spark, other):
+    """Rows with one doc_id and different texts are documents of their own; equal ones are one."""
+    from cofi.llm import fm, suffix
+
+    passage = " ".join(f"p{i}q" for i in range(80))
+    other = " ".join(f"other{i}" for i in range(30)) + " " + passage if other == "LONG" else other
+    rows = [(7, "before " + passage + " after"), (7, other), (7, other), (8, passage + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    words = sorted((r.doc_id, r.n_words, r.n_removed) for r in fm.remove_repeats(docs).collect())
+    n = 0 if not other else len(other.split())
+    gone = 80 if n > 80 else 0
+    assert words == sorted([(7, 82, 80), (7, n, gone), (7, n, gone), (8, 81, 80)])
+    got = suffix.remove_repeats(docs).collect()
+    assert sorted(r.doc_id for r in got) == [7, 7, 7, 8]
+    held = [r for r in got if r.doc_id == 8][0]
+    assert held.n_removed == len(passage) + 1  # the passage and its space start earlier, in a document 7
