@@ -142,3 +142,14 @@ def test_materialize_round_trip(spark):
     back = materialize(df, "round_trip")
     assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in df.schema]
     assert sorted(back.collect(), key=lambda r: r.user_id) == sorted(df.collect(), key=lambda r: r.user_id)
+
+
+@pytest.mark.parametrize("bad", [9.0, -1.0, 0.5])
+def test_personal_ratings_outside_the_scale_stop_the_job(spark, bad):
+    from cofi.sources import personal_ratings
+
+    table = spark.createDataFrame([(1, "a", 4.0), (2, "b", None), (3, "c", 0.0), (4, "d", bad)], "id BIGINT, title STRING, rating DOUBLE")
+    good = personal_ratings(table.where("id < 4"), 7).collect()
+    assert [(r.user_id, r.item_id, r.rating) for r in good] == [(7, 1, 4.0)]
+    with pytest.raises(Exception, match="outside"):
+        personal_ratings(table, 7).collect()
