@@ -57,6 +57,16 @@ def rating_lines_from(ratings: DataFrame, sep: str = "\t") -> DataFrame:
     return ratings.select(F.concat_ws(sep, "user_id", "item_id", "rating", F.lit("0")).alias("value"))
 
 
+def damaged_lines_from(ratings: DataFrame, sep: str = "\t") -> DataFrame:
+    """One unusable line per rating: by (user + item) mod 7 its user, item or rating is not a number, the rating
+    is missing, zero or outside the scale, or the line is blank."""
+    line = lambda *parts: F.concat_ws(sep, *[F.lit(p) if p not in ratings.columns else p for p in parts])
+    kinds = F.array(line("user", "item_id", "rating", "0"), line("user_id", "x1", "rating", "0"),
+                    line("user_id", "item_id", "three", "0"), line("user_id", "item_id"),
+                    line("user_id", "item_id", "0", "0"), line("user_id", "item_id", "9", "0"), F.lit(""))
+    return ratings.select(F.get(kinds, F.pmod(F.col("user_id") + F.col("item_id"), F.lit(7)).cast("int")).alias("value"))
+
+
 def personal_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A personal ratings table built from ``part``: every part is listed with its name,
     and parts whose key is a multiple of 10 carry the rating 1 + key % 5."""

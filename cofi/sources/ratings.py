@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofi.functions import RATING_HI, RATING_LO, checked_rating, safe_int
+from cofi.functions import RATING_HI, RATING_LO, checked_rating, in_range, safe_int
+from cofi.session import table_path
 
 RATINGS_SCHEMA = "user_id BIGINT, item_id BIGINT, rating DOUBLE"
 RATING_COLS = ["user_id", "item_id", "rating"]
@@ -28,6 +29,35 @@ def parse_rating_lines(lines: DataFrame, sep: str = "\t", col: str = "value") ->
                     F.trim(parts.getItem(2)).cast("double").alias("rating")))
 
 
+def judge_rating_lines(lines: DataFrame, sep: str = "\t", col: str = "value",
+                       lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
+    """(user_id, item_id, rating, line, reason): every line once. ``reason`` is NULL for a rating, otherwise
+    the first of: ``user`` (the first field is not an integer: header, blank or null line), ``fields`` (fewer
+    than three), ``item`` (not an integer), ``rating`` (not a number), ``unrated`` (zero), ``scale`` (outside
+    [lo, hi], NaN too). Nothing is dropped and no line stops the job."""
+    parts = F.split(F.col(col), sep)
+    field = lambda i: F.trim(F.get(parts, F.lit(i)))
+    user, item, rating = safe_int(field(0)), safe_int(field(1)), field(2).try_cast("double")
+    x = lines.select(user.alias("user_id"), item.alias("item_id"), rating.alias("rating"), F.col(col).alias("line"),
+                     F.size(parts).alias("_n"))
+    reason = (F.when(F.col("user_id").isNull(), "user").when(F.col("_n") < 3, "fields")
+              .when(F.col("item_id").isNull(), "item").when(F.col("rating").isNull(), "rating")
+              .when(F.col("rating") == 0, "unrated").when(~in_range("rating", lo, hi), "scale"))
+    return x.withColumn("reason", reason).drop("_n")
+
+
+def load_with_rejects(spark: SparkSession, path: str, sep: str = "\t", lo: float = RATING_LO,
+                      hi: float = RATING_HI) -> tuple[DataFrame, DataFrame]:
+    """(ratings, rejects) of text files in one pass: the judged lines are written once to the shared folder,
+    split by whether they were rejected, and each table reads its half only. ``rejects``: (line, reason)."""
+    judged = judge_rating_lines(spark.read.text(path), sep, lo=lo, hi=hi).withColumn(
+        "rejected", F.col("reason").isNotNull())
+    out = table_path(spark, "judged_lines")
+    judged.write.partitionBy("rejected").parquet(out)
+    both = spark.read.schema(judged.schema).parquet(out)
+    return both.where("NOT rejected").select(*RATING_COLS), both.where("rejected").select("line", "reason")
+
+
 def clean_ratings(df: DataFrame, drop_zero: bool = True, null_ratings: str = "fail",
                   lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
     """What every loader does with the values: a zero means "not rated" and is dropped unless

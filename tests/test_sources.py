@@ -7,7 +7,9 @@ from cofi.sources import (
     expect_rows,
     load_personal_csv,
     load_ratings,
+    judge_rating_lines,
     load_ratings_text,
+    load_with_rejects,
     parse_rating_lines,
     personal_ratings,
     split_train_test,
@@ -153,3 +155,30 @@ def test_personal_ratings_outside_the_scale_stop_the_job(spark, bad):
     assert [(r.user_id, r.item_id, r.rating) for r in good] == [(7, 1, 4.0)]
     with pytest.raises(Exception, match="outside"):
         personal_ratings(table, 7).collect()
+
+
+def test_rejected_lines_are_a_table(spark, tmp_path):
+    good = {"1\t10\t4\t0": (1, 10, 4.0), " 2 \t 11 \t 3.5 ": (2, 11, 3.5), "3000000000\t5\t1": (3000000000, 5, 1.0)}
+    bad = {"user\titem\trating": "user", "": "user", "\t1\t2": "user", "1.5\t1\t2": "user", "1": "fields", "1\t2": "fields",
+           "1\tx\t3": "item", "1\t\t3": "item", "1\t2\tx": "rating", "1\t2\t": "rating", "1\t2\t0": "unrated",
+           "1\t2\t9": "scale", "1\t2\t-1": "scale", "1\t2\tNaN": "scale", "99999999999999999999\t1\t1": "user"}
+    path = tmp_path / "lines.txt"
+    path.write_text("\n".join([*good, *bad, *bad]) + "\n")  # repeated lines are rejected each
+    kept, rejects = load_with_rejects(spark, str(path))
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(good.values())
+    assert sorted(tuple(r) for r in rejects.collect()) == sorted([*bad.items()] * 2)
+    null = spark.createDataFrame([(None,)], "value STRING")
+    assert [tuple(r) for r in judge_rating_lines(null).collect()] == [(None, None, None, None, "user")]
+    (tmp_path / "empty.txt").write_text("")
+    assert [t.count() for t in load_with_rejects(spark, str(tmp_path / "empty.txt"))] == [0, 0]
+
+
+def test_run_metadata_is_in_the_report(spark):
+    import json
+
+    from cofi.plans.catalog import QUERIES
+    (row,) = QUERIES["report_run"](spark, "/root/testdata/sf0.001").collect()
+    meta = json.loads(row.json)
+    assert row.section == "Meta" and meta["master"] == spark.sparkContext.master and meta["k"] == "10"
+    assert set(meta) == {"k", "partitions", "replication", "n_train", "n_test", "master", "num-executors"}
+    assert int(meta["n_train"]) > int(meta["n_test"]) > 0
