@@ -119,9 +119,37 @@ def merged(lists: DataFrame, k: int, n_candidates) -> DataFrame:
             .where(F.col("rank") <= k))
 
 
+def knn_lists(rhat: DataFrame, k: int, **block) -> DataFrame:
+    """The ``partial_lists`` of the exact graph: what ``merged`` ranks and ``with_new_users`` extends."""
+    return partial_lists(symmetrize(cosine_pairs(rhat, **block)), k)
+
+
 def knn_graph(rhat: DataFrame, k: int, n_candidates: Column, **block) -> DataFrame:
     """Exact kNN graph on adjusted cosine from preprocessed ratings."""
-    return merged(partial_lists(symmetrize(cosine_pairs(rhat, **block)), k), k, n_candidates)
+    return merged(knn_lists(rhat, k, **block), k, n_candidates)
+
+
+def with_new_users(lists: DataFrame, ratings: DataFrame, new_users: DataFrame, k: int) -> DataFrame:
+    """``lists`` (``knn_lists`` with this k or a larger one) after users were appended: one more part, their
+    edges in both directions. ``merged`` of it, with the new number of candidates, is the graph a full rebuild
+    gives.
+
+    An appended user changes no other user's average or norm, so no similarity of two earlier users changes and
+    none is formed: only the rows of those who share an item with a new user are read. ``ratings`` holds the
+    appended ratings, ``new_users`` (user_id) who is new; one who has a list already stops the job (new
+    ratings of a known user change all of that user's similarities: rebuild).
+    """
+    new = new_users.select(F.col("user_id").cast("bigint").alias("user_id")).distinct()
+    near = materialize(stats.enrich(only(ratings, co_raters(ratings, new))), "near_new")
+    known = new.select(F.col("user_id").alias("v"), F.lit(True).alias("_new"))
+    # two new users meet in both directions already
+    sims = cosine_of(near, new).join(known, "v", "left")
+    there, back = F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
+    edges = sims.select(F.explode(F.when(F.col("_new"), F.array(there)).otherwise(F.array(there, back))).alias("_e"),
+                        "sim").select("_e.u", "_e.v", "sim")
+    old = lists.join(known.withColumnRenamed("v", "user_id"), "user_id", "left").where(F.assert_true(
+        F.col("_new").isNull(), F.concat(F.lit("not a new user: "), F.col("user_id").cast("string"))).isNull())
+    return old.select(*lists.columns).unionByName(partial_lists(edges, k, name="lists_new"))
 
 
 def knn_from_ratings(train: DataFrame, k: int, n_candidates: Column | None = None,

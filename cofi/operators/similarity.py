@@ -6,12 +6,17 @@ pair returns 0.0, and zero weights never change a prediction.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cofi.operators.pairs import co_rated_pairs, summed, symmetrize
+from cofi.session import materialize
 from cofi.sources.ratings import only
 
+RARITY_STEPS = 4     # classes of item frequency per power of two
+RARITY_PARTS = 32    # parts of a class, by the item's hash
+SLACK = 1e-9         # the filters of ``jaccard_at_least`` stay this far on the safe side
+
 
 def cosine_pairs(rhat: DataFrame, **block) -> DataFrame:
     """(u, v, sim), u < v, for every co-rated pair whose sum over common items of
@@ -47,6 +52,65 @@ def jaccard_edges(train: DataFrame, **block) -> DataFrame:
     return symmetrize(jaccard_pairs(train, **block))
 
 
+def rarity(train: DataFrame) -> DataFrame:
+    """(user_id, item_id, ord): where each item falls in an order of all items by rarity, the same for every
+    user. Items of a class (frequencies within a quarter of a power of two) are told apart by a hash in
+    RARITY_PARTS parts, so there are some thousand values whatever the number of items."""
+    freq = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("_f"))
+    place = (F.floor(F.log2(F.col("_f").cast("double")) * RARITY_STEPS) * RARITY_PARTS
+             + F.pmod(F.xxhash64("item_id"), F.lit(RARITY_PARTS)))
+    return train.select("user_id", "item_id").join(
+        freq.select("item_id", place.cast("int").alias("ord")), "item_id").select("user_id", "item_id", "ord")
+
+
+def rare_prefixes(train: DataFrame, threshold: float) -> DataFrame:
+    """(user_id, item_id, own STRUCT<n, rest, end>): each user's rarest items, at least
+    n - ceil(threshold * n) + 1 of n; the last place taken is ``end``, and ``rest`` items lie beyond it.
+
+    The place at which a prefix ends is read off a per-user histogram of ``ord``, not off sorted items, and all
+    items at that place are taken: a longer prefix than needed loses no pair, and a user with very many items
+    is counted in pieces.
+    """
+    placed = materialize(rarity(train), "rarity")
+    hist = placed.groupBy("user_id", "ord").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("user_id")
+    run = hist.withColumn("_upto", F.sum("_c").over(w.orderBy("ord"))).withColumn("n", F.sum("_c").over(w))
+    need = F.col("n") - F.ceil(F.col("n") * threshold - SLACK) + 1
+    ends = run.where(F.col("_upto") >= need).groupBy("user_id").agg(F.struct(
+        F.max("n").alias("n"), (F.max("n") - F.min("_upto")).alias("rest"), F.min("ord").alias("end")).alias("own"))
+    return placed.join(ends, "user_id").where("ord <= own.end").select("user_id", "item_id", "own")
+
+
+def jaccard_candidates(train: DataFrame, threshold: float, **block) -> DataFrame:
+    """(u, v, nu, nv), u < v: the pairs that share an item of both prefixes and whose sizes, and the items that
+    can still be shared beyond the shorter prefix, allow the similarity. Sets with a Jaccard similarity of t
+    share at least ceil(t * n) items of each, so under one order of all items their prefixes meet."""
+    prefixes = materialize(rare_prefixes(train, threshold), "rare_prefixes")
+    met = (co_rated_pairs(prefixes, ["item_id"], "own", **block)
+           .where(F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - SLACK)
+           .groupBy("u", "v").agg(F.max("a").alias("a"), F.max("b").alias("b"), F.count(F.lit(1)).alias("_c")))
+    # common items up to the smaller end are counted; the others lie in what that user has beyond it
+    most = F.col("_c") + F.when(F.col("a.end") <= F.col("b.end"), F.col("a.rest")).otherwise(F.col("b.rest"))
+    least = (F.col("a.n") + F.col("b.n")) * (threshold / (1 + threshold))
+    return met.where(most >= least - SLACK).select("u", "v", F.col("a.n").alias("nu"), F.col("b.n").alias("nv"))
+
+
+def jaccard_at_least(train: DataFrame, threshold: float, **block) -> DataFrame:
+    """(u, v, sim), u < v, for every pair of users with a Jaccard similarity of ``threshold`` or more (over 0, at
+    most 1): an exact set-similarity join by prefix and size, verified on the items of the smaller side.
+    Pairs that share frequent items only are never formed."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"a threshold over 0 and up to 1, not {threshold!r}")
+    pairs = materialize(jaccard_candidates(train, threshold, **block), "jaccard_candidates")
+    small = F.when(F.col("nu") <= F.col("nv"), F.col("u")).otherwise(F.col("v"))
+    asked = pairs.select("u", "v", "nu", "nv", small.alias("_s"), (F.col("u") + F.col("v") - small).alias("_l"))
+    common = (asked.join(train.select(F.col("user_id").alias("_s"), "item_id"), "_s")
+              .join(train.select(F.col("user_id").alias("_l"), "item_id"), ["_l", "item_id"])
+              .groupBy("u", "v", "nu", "nv").agg(F.count(F.lit(1)).alias("_c")))
+    return common.select("u", "v", (F.col("_c") / (F.col("nu") + F.col("nv") - F.col("_c"))).alias("sim")).where(
+        F.col("sim") >= threshold)
+
+
 # Requests first: similarities of given users (an id, a list, a DataFrame) against the others.
 # Only the users who share an item with them are read, and only rows of requested users are formed.
 

@@ -19,11 +19,13 @@ from cofi.plans import oracle as O
 from cofi.session import materialize, table_path
 from cofi.sources import (
     append_user,
+    damaged_lines_from,
     events_ratings,
     expect_rows,
     load_personal_csv,
     load_ratings,
     load_ratings_text,
+    load_with_rejects,
     only,
     orders_ratings,
     parse_rating_lines,
@@ -33,7 +35,8 @@ from cofi.sources import (
     rating_lines_from,
     split_train_test,
 )
-from cofi.sources.sinks import answers_table, nested_answers, run_parameters
+from cofi.sources.ratings import split_test_predicate
+from cofi.sources.sinks import answers_table, nested_answers, run_metadata, run_parameters
 
 D = 6  # output decimals
 
@@ -46,6 +49,7 @@ PARTITIONS = 10
 REPLICATION = 2
 REPLICATIONS = [1, 2, 3, 4, 6, 8]
 TOP_N = 3
+JACCARD_LEAST = 0.4
 USER, USER2, ITEM = 1, 2, 1
 N_USERS, N_ITEMS, NEW_USER = 100, 150, 944
 
@@ -288,6 +292,10 @@ def q_sim_jaccard_pair(spark, sf):
     return _edges_out(similarity.sim_jaccard_pair(Fixture(spark, sf, "e").train, USER, USER2))
 
 
+def q_sim_jaccard_above(spark, sf):
+    return _edges_out(similarity.jaccard_at_least(Fixture(spark, sf, "e", shared=True).train, JACCARD_LEAST))
+
+
 def _personal_preds(fx: Fixture) -> dict[str, DataFrame]:
     return {
         "uniform": predict.pred_uniform(fx.train, fx.test, fx.dev, fx.averages),
@@ -349,6 +357,16 @@ def q_knn_graph_k400(spark, sf):
     return _graph_out(Fixture(spark, sf, "o", shared=True).knn(K_LARGE))
 
 
+def q_knn_with_new_user(spark, sf):
+    """The graph of all ratings after a user was appended: the others' lists are kept and extended."""
+    r = materialize(orders_ratings(spark, sf), "ratings_o")
+    lists = knn_ops.knn_lists(materialize(stats.enrich(r), "enriched").select("user_id", "item_id", "rhat"), K)
+    uid = r.agg(F.max("user_id")).first()[0] + 1
+    data = append_user(r, personal_ratings(personal_from_parts(spark, sf), uid))
+    lists = knn_ops.with_new_users(lists, data, spark.range(uid, uid + 1).toDF("user_id"), K)
+    return _graph_out(knn_ops.merged(lists, K, stats.n_users(data) - 1))
+
+
 def q_knn_pair_lookup(spark, sf):
     fx = Fixture(spark, sf, "e", shared=True)
     pairs = fx.users.select(F.lit(USER).cast("bigint").alias("u"), F.col("user_id").alias("v"))
@@ -427,6 +445,12 @@ def q_pred_knn_approx(spark, sf):
     return _preds_out(fx.predict(knn_ops.as_edges(g)))
 
 
+def q_mae_knn_approx(spark, sf):
+    fx = Fixture(spark, sf, "e", shared=True)
+    g = approx.knn_approx(fx.rhat, fx.users, K, PARTITIONS, REPLICATION)
+    return metrics.mae(fx.predict(knn_ops.as_edges(g))).select(R("mae").alias("mae"))
+
+
 def q_mae_by_replication(spark, sf):
     fx = Fixture(spark, sf, "e", shared=True)
     g = approx.replication_sweep_graph(fx.rhat, fx.users, K_SWEEP, PARTITIONS, REPLICATIONS)
@@ -452,6 +476,17 @@ def q_answers_json(spark, sf):
         nested_answers(run_parameters(spark, k=K, partitions=PARTITIONS, replication=REPLICATION)))
 
 
+def q_report_run(spark, sf):
+    """The report's "Meta" block in full: parameters, size of the input, and the machine (no SQL: it names this
+    session's master and executors)."""
+    fx = Fixture(spark, sf, "o", shared=True)
+    sizes = fx.ratings.select(F.lit("Meta").alias("section"), F.when(
+        split_test_predicate(), "n_test").otherwise("n_train").alias("metric")).groupBy("section", "metric").agg(
+        F.count(F.lit(1)).cast("string").alias("value"))
+    params = run_parameters(spark, k=K, partitions=PARTITIONS, replication=REPLICATION)
+    return nested_answers(params.unionByName(sizes).unionByName(run_metadata(spark)))
+
+
 # ----------------------------------------------------------------------------- loaders
 
 def _written(df: DataFrame, name: str, fmt: str) -> str:
@@ -487,6 +522,20 @@ def q_load_personal_csv(spark, sf):
     return personal_ratings(load_personal_csv(spark, path), NEW_USER)
 
 
+def _mixed_file(spark, sf) -> str:
+    """Every rating as a line, and one unusable line per rating."""
+    r = materialize(orders_ratings(spark, sf), "ratings_o")
+    return _written(rating_lines_from(r).unionByName(damaged_lines_from(r)), "mixed_lines", "text")
+
+
+def q_load_kept(spark, sf):
+    return load_with_rejects(spark, _mixed_file(spark, sf))[0]
+
+
+def q_load_rejects(spark, sf):
+    return load_with_rejects(spark, _mixed_file(spark, sf))[1]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
@@ -583,6 +632,7 @@ def _sql() -> dict[str, str]:
         FROM rhat a JOIN rhat b ON a.item_id = b.item_id WHERE a.user_id = {USER} AND b.user_id <> {USER}
         GROUP BY b.user_id""")
     q["sim_jaccard"] = _q("e", [], _EDGE_SEL + "jedges")
+    q["sim_jaccard_above"] = _q("e", [], _EDGE_SEL + f"jpairs WHERE sim >= {JACCARD_LEAST}")
     q["sim_jaccard_pair"] = _q("e", [], f"""SELECT CAST({USER} AS BIGINT) AS u, CAST({USER2} AS BIGINT) AS v,
         RD(COALESCE((SELECT CAST(COUNT(*) AS DOUBLE) FROM train a JOIN train b ON a.item_id = b.item_id
                           WHERE a.user_id = {USER} AND b.user_id = {USER2})
@@ -624,6 +674,14 @@ def _sql() -> dict[str, str]:
         """SELECT section, '{' || string_agg('"' || metric || '":"' || value || '"', ',' ORDER BY metric) || '}' AS json
            FROM ans GROUP BY section""")
     q["load_text_tab"] = q["load_text_colons"] = O.ORDERS
+    q["load_kept"] = O.ORDERS
+    q["load_rejects"] = f"""WITH r AS ({O.ORDERS}), d AS (SELECT CAST(user_id AS VARCHAR) AS u, CAST(item_id AS VARCHAR) AS i,
+          CAST(rating AS VARCHAR) AS x, (user_id + item_id) % 7 AS kind FROM r)
+        SELECT CASE kind WHEN 0 THEN concat_ws(chr(9), 'user', i, x, '0') WHEN 1 THEN concat_ws(chr(9), u, 'x1', x, '0')
+            WHEN 2 THEN concat_ws(chr(9), u, i, 'three', '0') WHEN 3 THEN concat_ws(chr(9), u, i)
+            WHEN 4 THEN concat_ws(chr(9), u, i, '0', '0') WHEN 5 THEN concat_ws(chr(9), u, i, '9', '0') ELSE '' END AS line,
+          CASE kind WHEN 0 THEN 'user' WHEN 1 THEN 'item' WHEN 2 THEN 'rating' WHEN 3 THEN 'fields'
+            WHEN 4 THEN 'unrated' WHEN 5 THEN 'scale' ELSE 'user' END AS reason FROM d"""
     q["load_text_dimensions"] = f"""SELECT * FROM ({O.ORDERS}) WHERE user_id BETWEEN 1 AND {N_USERS}
         AND item_id BETWEEN 1 AND {N_ITEMS}"""
     q["load_personal_csv"] = f"""SELECT CAST({NEW_USER} AS BIGINT) AS user_id, p_partkey AS item_id, p_name AS title,
@@ -663,11 +721,13 @@ def _sql() -> dict[str, str]:
         f"SELECT user_id, rank, item_id, prediction FROM ra WHERE rank <= {TOP_N}")
     q["recommend_user"] = _q("e", rec(USER, K, "cedges"),
                              f"SELECT user_id, rank, item_id, prediction FROM top WHERE rank <= {TOP_N}")
+    appended = ([f"r0 AS ({O.ORDERS})",
+                 f"""mine AS (SELECT (SELECT MAX(user_id) + 1 FROM r0) AS user_id, p_partkey AS item_id,
+                       CAST(1 + p_partkey % 5 AS DOUBLE) AS rating FROM part WHERE p_partkey % 10 = 0)"""]
+                + O.base("o", train="SELECT * FROM r0 UNION ALL SELECT * FROM mine"))
+    q["knn_with_new_user"] = O.with_(appended + O.knn("kg", "cedges", K), _GRAPH_SEL + "kg")
     q["recommend_new_user"] = O.with_(
-        [f"r0 AS ({O.ORDERS})",
-         f"""mine AS (SELECT (SELECT MAX(user_id) + 1 FROM r0) AS user_id, p_partkey AS item_id,
-               CAST(1 + p_partkey % 5 AS DOUBLE) AS rating FROM part WHERE p_partkey % 10 = 0)"""]
-        + O.base("o", train="SELECT * FROM r0 UNION ALL SELECT * FROM mine")
+        appended
         + rec("(SELECT MAX(user_id) FROM mine)", K_SWEEP, "cedges"),
         f"""SELECT t.rank, t.item_id, p.p_name AS title, t.prediction FROM top t
             LEFT JOIN part p ON p.p_partkey = t.item_id WHERE t.rank <= {TOP_N}""")
@@ -678,6 +738,8 @@ def _sql() -> dict[str, str]:
     ab = O.bins("b", users, PARTITIONS, REPLICATION) + O.knn("ga", "b_edges", K, cand="b_cand")
     q["knn_approx"] = _q("e", ab, _GRAPH_SEL + "ga")
     q["pred_knn_approx"] = _q("e", ab + O.weighted("p_ak", O.edges_of("ga")), _PRED_SEL + "p_ak")
+    q["mae_knn_approx"] = _q("e", ab + O.weighted("p_ak", O.edges_of("ga")),
+                             "SELECT RD(AVG(ABS(rating - prediction))) AS mae FROM p_ak")
     reps = "(" + " UNION ALL ".join(f"SELECT CAST({r} AS BIGINT) AS replication" for r in REPLICATIONS) + ")"
     q["mae_by_replication"] = _q("e", O.bins("b", users, PARTITIONS, reps)
                                  + O.knn("gr", "b_edges", K_SWEEP, cand="b_cand", keys=("replication",)) + [

@@ -176,3 +176,56 @@ def test_sweep_ranking_equals_per_level_top_k(ev, k):
         g = knn.top_k(symmetrize(shared), k, approx.candidates(sets))
         want |= {(x.user_id, x.neighbor_id, r, x.rank) for x in g.collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("n_new,k", [(1, 3), (4, 3), (4, 60)])
+def test_lists_with_new_users_equal_a_rebuild(ev, spark, n_new, k):
+    """Users appended to a graph (sharing items with others, with each other, or with no one) == building it anew."""
+    ids = sorted(r.user_id for r in ev.users.collect())
+    new = ids[-n_new:]
+    lone = spark.createDataFrame([(10**6, 10**6, 3.0), (10**6, 10**6 + 1, 5.0)], ev.train.schema)
+    data = ev.train.unionByName(lone)
+    added = spark.createDataFrame([(u,) for u in [*new, 10**6, 10**6]], "user_id BIGINT")
+    old = data.where(~F.col("user_id").isin([*new, 10**6]))
+    lists = knn.knn_lists(stats.enrich(old).select("user_id", "item_id", "rhat"), k)
+    got = knn.merged(knn.with_new_users(lists, data, added, k), k, stats.n_users(data) - 1)
+    want = knn.knn_from_ratings(data, k)
+    rows = lambda g: {(r.user_id, r.neighbor_id, r.rank, round(r.sim, 9)) for r in g.collect()}
+    assert rows(got) == rows(want) and any(r[1] in new for r in rows(got))
+    with pytest.raises(Exception, match="not a new user"):
+        knn.with_new_users(lists, data, spark.createDataFrame([(ids[0],)], "user_id BIGINT"), k).collect()
+
+
+def _sets(spark, seed=4):
+    """Users in groups that share most of their rare items; everyone has frequent ones too."""
+    import random
+    r = random.Random(seed)
+    rows = set()
+    for group in range(30):
+        own = [1000 + 50 * group + i for i in range(20)]
+        for u in range(4):
+            rows |= {(group * 10 + u, i) for i in r.sample(own, r.randint(12, 20)) + r.sample(range(10), r.randint(1, 8))}
+    rows |= {(900, 1), (901, 1), (902, 77)}  # one item; an item of no one else
+    return rows, spark.createDataFrame([(u, i, 3.0) for u, i in rows], "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.3, 0.5, 0.6, 0.8, 1.0])
+def test_jaccard_above_equals_brute_force_with_fewer_candidates(spark, threshold):
+    rows, df = _sets(spark)
+    items = {}
+    for u, i in rows:
+        items.setdefault(u, set()).add(i)
+    sims = {(u, v): len(a & b) / len(a | b) for u, a in items.items() for v, b in items.items() if u < v and a & b}
+    got = {(r.u, r.v): r.sim for r in similarity.jaccard_at_least(df, threshold, block_rows=16).collect()}
+    assert got == {p: s for p, s in sims.items() if s >= threshold}
+    n = similarity.jaccard_candidates(df, threshold).count()
+    assert len(got) <= n <= len(sims)
+    if threshold >= 0.5:
+        assert 10 * n < len(sims)  # pairs that share frequent items only are not formed
+    assert similarity.jaccard_at_least(df.limit(0), threshold).count() == 0
+
+
+def test_jaccard_threshold_is_checked(spark):
+    for bad in (0, -1, 1.1):
+        with pytest.raises(ValueError):
+            similarity.jaccard_at_least(_sets(spark)[1], bad)
