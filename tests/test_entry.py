@@ -22,3 +22,11 @@ def test_without_the_text_operators(tmp_path):
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, capture_output=True, text=True, timeout=120)
     assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLE_SQL))]
+
+
+def test_without_a_package_of_the_text_operators():
+    """A package that only they need is missing: the rating queries stay."""
+    code = ("import sys; sys.modules['tokenizers'] = None\n"
+            "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLE_SQL))]
