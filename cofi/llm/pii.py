@@ -20,14 +20,15 @@ Kept as they are: separators, an email's top-level domain, a phone's separated c
 do not validate.
 
 Defined cases: a null text stays null with no findings; rows are independent, so repeated
-rows, ties and null ids need no rule; extra columns pass through ``mask`` unchanged.
+rows, ties and null ids need no rule; extra columns (dots in their names, names of the helper
+columns) pass through ``mask`` unchanged. The key is read at run time and is in no plan.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cofi.llm.common import text_rows
@@ -63,7 +64,7 @@ IBAN_SIZES = {c: n for n, cs in {
 CHUNK = 256                          # places gone through at a time
 WITHIN = 24                          # places that a card or phone can hold behind its first
 #: Every format holds one of these; other texts need no further look.
-HINT = r"[0-9@]|AKIA"
+HINT = r"[0-9@]|AKIA|[a-f]{32}"
 
 
 def _hash_number(text: Column, radix: Column) -> Column:
@@ -71,16 +72,24 @@ def _hash_number(text: Column, radix: Column) -> Column:
     return (F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint") % radix).cast("bigint")
 
 
-def feistel(values: Column, radices: Column, key: str, kind: Column | str) -> Column:
-    """``values`` (ARRAY<BIGINT>, each below its radix) permuted. Odd rounds change the first
+def secret(spark: SparkSession, key: str) -> Column:
+    """The key as a scalar read at run time from a table of one row: neither the plan nor an error text
+    that cites it holds the key. Make it a column before it is used inside a higher-order function."""
+    return spark.createDataFrame([(key,)], "key STRING").scalar()
+
+
+def feistel(values: Column, radices: Column, key: Column | str, kind: Column | str) -> Column:
+    """``values`` (ARRAY<BIGINT>, each below its radix) permuted. A key given as text becomes a literal of the
+    plan; see ``secret``. Odd rounds change the first
     half by the second, even rounds the second by the first."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
+    key = F.lit(key) if isinstance(key, str) else key
     half = F.floor(F.size(values) / 2).cast("int")
 
     def one_round(now: Column, i: Column) -> Column:
         first = (i % 2) == 1
         other = F.array_join(F.filter(now, lambda _, j: (j < half) != first).cast("array<string>"), ",")
-        seed = F.concat_ws("|", F.lit(key), kind, i.cast("string"), other)
+        seed = F.concat_ws("|", key, kind, i.cast("string"), other)
         return F.transform(now, lambda x, j: F.when((j < half) == first, (x + _hash_number(
             F.concat_ws("|", seed, j.cast("string")), F.get(radices, j))) % F.get(radices, j)).otherwise(x))
 
@@ -318,7 +327,7 @@ def _render(kind: Column, m: Column, jobs: Column, new: Column) -> Column:
         .when(kind == "phone", _refill(m, "[0-9]", F.concat(_country(m), first))))
 
 
-def pseudonyms_of(matches: Column, key: str) -> Column:
+def pseudonyms_of(matches: Column, key: Column | str) -> Column:
     """ARRAY<STRUCT<kind, value>> for an array of (m, kind): each one's kind (null if it does
     not validate) and what replaces it. Step by step over the array, so that each
     expression is written once."""
@@ -345,39 +354,39 @@ def _alone(kind: str) -> str:
 
 def mask(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` pseudonymised in place; all columns and their order stay."""
-    return _with_findings(docs, key, text_col).select(*docs.columns)
+    return _with_findings(docs, key, text_col)[0].select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _with_findings(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """``docs`` with ``text_col`` replaced and the findings in a column of their own."""
+def _with_findings(docs: DataFrame, key: str, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with ``text_col`` replaced and the findings in a column of their own, and its name."""
     text = F.concat(F.lit(" "), F.col(text_col))  # so that no place is at the very start
     some = F.regexp_like(F.col(text_col), F.lit(HINT))
     names: list[str] = []
-    for name in ("_places", "_chosen", "_at", "_found"):
+    for name in ("_places", "_chosen", "_at", "_found", "_key", "_findings"):
         while name in docs.columns:
             name += "_"
         names.append(name)
-    places, chosen, at, found = map(F.col, names)
-    x = docs.withColumn(names[0], F.when(some, F.struct(
+    places, chosen, at, found, hidden = map(F.col, names[:5])
+    x = docs.withColumn(names[4], secret(docs.sparkSession, key)).withColumn(names[0], F.when(some, F.struct(
         F.split(text, f"(?={ANY})", -1).alias("parts"),
         F.regexp_extract_all(text, F.lit(f"(?=({ANY}))"), F.lit(1)).alias("matches"),
         F.regexp_extract_all(text, F.lit(f"(?={ANY})(?=({FORMATS['phone']}|))"), F.lit(1)).alias("phones"))))
     x = x.withColumn(names[1], F.when(F.size(places["matches"]) > 0, _chosen(places["matches"], places["phones"])))
     x = x.withColumn(names[2], F.when(chosen.isNotNull(), _covered(places["parts"], chosen)))
     x = x.withColumn(names[3], pseudonyms_of(F.transform(chosen, lambda c, i: F.when(
-        F.get(at, i) % 2 == 1, F.struct(c["m"].alias("m"), c["kind"].alias("kind")))), key))
+        F.get(at, i) % 2 == 1, F.struct(c["m"].alias("m"), c["kind"].alias("kind")))), hidden))
     code = lambda i: F.coalesce(F.get(at, i - 1), F.lit(0))
     whole = F.array_join(F.transform(places["parts"], lambda p, i: F.concat(
         F.when(code(i) % 2 == 1, F.get(found, i - 1)["value"]).otherwise(F.lit("")),
         p.substr(F.floor(code(i) / 2).cast("int") + 1, F.length(p)))), "")
     new = F.when(chosen.isNotNull(), whole.substr(F.lit(2), F.length(whole))).otherwise(F.col(text_col))
     return x.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                    found.alias("_findings"))
+                    found.alias(names[5])), names[5]
 
 
 def pseudonyms(docs: DataFrame, key: str) -> DataFrame:
     """(doc_id, text, n_<kind>...) per row of ``docs``: the masked text and what was replaced."""
-    x = _with_findings(text_rows(docs), key, "text")
-    count = lambda k: F.size(F.filter(F.coalesce(F.col("_findings"), F.array().cast(
+    x, findings = _with_findings(text_rows(docs), key, "text")
+    count = lambda k: F.size(F.filter(F.coalesce(F.col(findings), F.array().cast(
         "array<struct<kind:string,value:string>>")), lambda f: f["kind"] == k)).cast("bigint").alias(f"n_{k}")
     return x.select("doc_id", "text", *[count(k) for k in FORMATS])

@@ -150,3 +150,30 @@ def test_many_places(spark):
     """Long runs of numbers take time that grows with their length."""
     got, _ = masked(spark, ["12 345 6 " * 20_000 + "; 4111 1111 1111 1111 123"])
     assert got[0].endswith(f"; {card('4111 1111 1111 1111')} 123") and len(got[0]) == 180_025
+
+
+def test_the_plan_does_not_hold_the_key(spark, capsys):
+    df = spark.createDataFrame([(1, "mail x.y@example.org 4111 1111 1111 1111")], "doc_id BIGINT, text STRING")
+    for out in (pii.mask(df, "tell-no-one"), pii.pseudonyms(df, "tell-no-one")):
+        out.explain("extended")
+        out.explain("formatted")
+        shown = capsys.readouterr().out + out._jdf.queryExecution().toString()
+        assert "concat_ws" in shown and "tell-no-one" not in shown
+        row = out.first()
+        assert "x.y@" not in row.text and "tell-no-one" not in out._jdf.queryExecution().toString()
+
+
+def test_column_names_that_clash_or_hold_dots(spark):
+    df = spark.createDataFrame([(1, "x.y@example.org", 1, 2, 3, 4)],
+                               "doc_id BIGINT, text STRING, `a.b` INT, _key INT, _found INT, _findings INT")
+    (row,) = pii.mask(df, KEY).collect()
+    assert pii.mask(df, KEY).columns == df.columns and tuple(row)[2:] == (1, 2, 3, 4) and row.text != "x.y@example.org"
+
+
+def test_keys_of_letters_only(spark):
+    """A hexadecimal key without a digit, in a text that holds nothing else to find."""
+    df = spark.createDataFrame([(1, "token " + "deadbeef" * 4 + " end"), (2, "token " + "deadbeef" * 3 + " end")],
+                               "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r for r in pii.pseudonyms(df, KEY).collect()}
+    assert got[1].n_key == 1 and "deadbeef" * 4 not in got[1].text
+    assert got[2].n_key == 0 and got[2].text == "token " + "deadbeef" * 3 + " end"
