@@ -3,7 +3,8 @@
 The ``tokenizers`` library merges; each worker builds its model once from the rank file.
 A text is cut by the public pattern, every match is mapped byte by byte to the library's
 printable characters and merged on its own, and the results of equal matches are reused
-inside a worker (a memo that is emptied when full; it never changes a result). Texts are
+inside a worker (a memo bounded in bytes, without very long matches, that is emptied when full; it
+never changes a result). Texts are
 cut between a non-space and a single space before a non-space, where no match can
 cross, so a very long text needs memory for one stretch of matches at a time.
 
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from cofi.llm.common import map_batches, pieces, text_rows
 
 STRETCH = 1 << 20  # characters after which a long text is cut at the next safe place
-MEMO = 1 << 18     # distinct matches a worker remembers
+MEMO_BYTES = 96 << 20  # what a worker's memo of encoded matches may take
+LONGEST = 128      # characters of a match that is remembered
 
 
 def byte_characters() -> list[str]:
@@ -99,13 +101,17 @@ class Codec:
         self.beyond = re.compile("[\U00010000-\U0010ffff]").search
         self.cut = re.compile(spelled_out(r"(?<=\S) (?=\S)")).search
         self.memo: dict[str, bytes] = {}
+        self.used = 0
 
     def word(self, match: str) -> bytes:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
         shown = match.encode("utf-8").decode("latin-1").translate(self.table)
         ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        self.memo[match] = ids
+        if len(match) <= LONGEST:
+            if self.used >= MEMO_BYTES:
+                self.memo.clear()
+                self.used = 0
+            self.memo[match] = ids
+            self.used += sys.getsizeof(match) + sys.getsizeof(ids) + 100  # and the dictionary's slot
         return ids
 
     def encode(self, text: str) -> np.ndarray:

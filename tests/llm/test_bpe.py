@@ -58,3 +58,14 @@ def test_offsets_cover_the_characters(spark, own):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id BIGINT, text STRING")
     assert bpe.round_trip_digest(df, FILE, P.PATTERN).count() == 0
+
+
+def test_the_memo_is_bounded_in_bytes(own, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 20_000)
+    c = bpe.Codec(FILE, P.PATTERN)
+    r = random.Random(2)
+    for size in (3, 90, 3000):  # short, remembered, too long to be remembered
+        for _ in range(200):
+            t = "".join(r.choice("abcdefghé") for _ in range(size))
+            assert c.encode(t).tolist() == own.encode_ordinary(t)
+            assert c.used <= 20_000 + 1000 and all(len(m) <= bpe.LONGEST for m in c.memo)
