@@ -15,7 +15,7 @@ signatures are computed for the windows that hold one; the retrieved pairs are t
 
 Defined cases: words are runs of a-z and 0-9 of the lower-cased text; null, empty and
 shorter texts have no shingles and no rows; rows that repeat a doc_id and a passage are
-reported once; ties between windows go to the earliest; a template with fewer than five
+reported once; rows without a doc_id are documents of their own, each with its findings; ties between windows go to the earliest; a template with fewer than five
 words is refused.
 """
 
@@ -106,16 +106,17 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 
 def windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(doc_id, step, at, words): windows that hold an anchor, by doc_id and the place of the first
+    """(doc_id, row, step, at, words): windows that hold an anchor, by doc_id and the place of the first
     shingle; ``anchors``: (anchor, step)."""
-    x = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), words(F.col("text")).alias("words"))
-    x = x.select("doc_id", "words", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "anchor"))
+    x = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), words(F.col("text")).alias("words"),
+                    F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("row"))
+    x = x.select("doc_id", "row", "words", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "anchor"))
     x = x.join(anchors, "anchor")  # as large as templates x bands: its measured size decides how
     first = F.floor(F.col("pos") / F.col("step")).cast("int")
-    x = x.select("doc_id", "step", "words", F.explode(F.when(first > 0, F.array(first - 1, first)).otherwise(
+    x = x.select("doc_id", "row", "step", "words", F.explode(F.when(first > 0, F.array(first - 1, first)).otherwise(
         F.array(first))).alias("w"))
     at = F.col("w") * F.col("step")
-    return x.select("doc_id", "step", at.alias("at"), F.slice("words", at + 1, 2 * F.col("step") + WORDS - 1)
+    return x.select("doc_id", "row", "step", at.alias("at"), F.slice("words", at + 1, 2 * F.col("step") + WORDS - 1)
                     .alias("words")).distinct()
 
 
@@ -131,14 +132,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, contained: floa
     holder = F.filter(shingle_hashes(F.col("words")), lambda h: F.xxhash64(h, F.col("band")) == F.col("value"))
     anchors = materialize(banded.select("step", F.explode(holder).alias("anchor")).distinct(), "license-anchors")
     found = materialize(windows(docs, anchors), "license-windows")
-    probes = found.select("doc_id", "step", "at", "words", F.posexplode(signature(F.col("words"), n_bands)).alias("band", "value"))
+    probes = found.select("doc_id", "row", "step", "at", "words", F.posexplode(signature(F.col("words"), n_bands)).alias("band", "value"))
     pairs = probes.join(banded.select("template", "step", "band", "value"), ["step", "band", "value"]).select(
-        "doc_id", "template", "at", "words").distinct()
+        "doc_id", "row", "template", "at", "words").distinct()
     share = F.size(F.array_intersect(shingles(F.col("words")), F.col("shingles"))) / F.size("shingles")
     hits = pairs.join(known.select("template", "shingles"), "template").withColumn("containment", share).where(
         F.col("containment") >= contained)
     best = F.max(F.struct("containment", (-F.col("at")).alias("back")))
-    return hits.groupBy("doc_id", "template").agg(F.count_distinct("at").alias("n_windows"), best.alias("b")).select(
+    return hits.groupBy("doc_id", "row", "template").agg(F.count_distinct("at").alias("n_windows"), best.alias("b")).select(
         "doc_id", "template", "n_windows", (-F.col("b.back")).cast("bigint").alias("at_word"),
         F.round("b.containment", 6).alias("containment"))
 
@@ -153,11 +154,12 @@ WITH templates(template, text) AS (VALUES {rows}),
   tw AS (SELECT template, regexp_extract_all(lower(text), '{WORD}') AS w FROM templates),
   ts AS (SELECT template, unnest(list_distinct({cut})) AS s FROM tw),
   tn AS (SELECT template, count(*) AS n, pow(2, ceil(log2(count(*))))::BIGINT AS step FROM ts GROUP BY template),
-  dw AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
-  dl AS (SELECT doc_id, {cut} AS l FROM dw WHERE len(w) >= {WORDS}),
-  ds AS (SELECT doc_id, unnest(l) AS s, unnest(range(len(l))) AS pos FROM dl),
-  h AS (SELECT doc_id, template, s, n, step, pos // step AS w FROM ds JOIN ts USING (s) JOIN tn USING (template)),
-  hw AS (SELECT doc_id, template, s, n, step, w FROM h UNION ALL SELECT doc_id, template, s, n, step, w - 1 FROM h WHERE w > 0),
-  m AS (SELECT doc_id, template, w * step AS pos, count(DISTINCT s) / n AS containment FROM hw GROUP BY doc_id, template, w, step, n)
+  dw AS (SELECT doc_id, CASE WHEN doc_id IS NULL THEN row_number() OVER () END AS rid,
+    regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
+  dl AS (SELECT doc_id, rid, {cut} AS l FROM dw WHERE len(w) >= {WORDS}),
+  ds AS (SELECT doc_id, rid, unnest(l) AS s, unnest(range(len(l))) AS pos FROM dl),
+  h AS (SELECT doc_id, rid, template, s, n, step, pos // step AS w FROM ds JOIN ts USING (s) JOIN tn USING (template)),
+  hw AS (SELECT doc_id, rid, template, s, n, step, w FROM h UNION ALL SELECT doc_id, rid, template, s, n, step, w - 1 FROM h WHERE w > 0),
+  m AS (SELECT doc_id, rid, template, w * step AS pos, count(DISTINCT s) / n AS containment FROM hw GROUP BY doc_id, rid, template, w, step, n)
 SELECT doc_id, template, count(*) AS n_windows, arg_max(pos, (containment, -pos))::BIGINT AS at_word,
-  round(max(containment), 6) AS containment FROM m WHERE containment >= {contained} GROUP BY doc_id, template"""
+  round(max(containment), 6) AS containment FROM m WHERE containment >= {contained} GROUP BY doc_id, rid, template"""

@@ -60,13 +60,15 @@ def test_licenses(spark):
     texts = [None, "", "four words only here", t["MIT"], f"{fill(1000)} {t['GPL-3.0']} {fill(77)}", t["CC-BY-NC-4.0"].upper(),
              " ".join(apache[:20] + ["odd"] + apache[21:]), " ".join(apache[::2]), f"{t['BSD']}\n{t['BSD']}", f"{fill(60_000)} {t['MIT-text']}",
              t["CC-BY-4.0"], "released under the MIT license", "Released under the\nMIT\tLICENSE, or else"]
-    rows = [(i, x, "q") for i, x in enumerate(texts)] + [(3, t["MIT"], "q"), (None, t["MIT"], None)]
+    rows = [(i, x, "q") for i, x in enumerate(texts)] + [(3, t["MIT"], "q")] + [(None, t["MIT"], None)] * 5
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows[:-2]] + [(None, t["MIT"])])
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows[:len(texts)]] + [(None, t["MIT"])] * 5)
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, template STRING")
     got = same(licenses.scan(df), con, licenses.oracle_sql())
-    assert len(got) == len({(r.doc_id, r.template) for r in licenses.scan(df).collect()})
+    got_id = sorted(licenses.scan(df).columns).index("doc_id")
+    assert len([g for g in got if g[got_id] is None]) == 5  # rows without a doc_id are documents of their own
+    assert len(got) == len({(r.doc_id, r.template) for r in licenses.scan(df).collect()}) + 4
     found = {(r.doc_id, r.template) for r in licenses.scan(df).collect()}
     assert {(3, "MIT"), (None, "MIT"), (4, "GPL-3.0"), (5, "CC-BY-NC-4.0"), (6, "Apache-2.0-header"), (8, "BSD"), (9, "MIT-text"),
             (10, "CC-BY-4.0"), (11, "MIT"), (12, "MIT")} <= found and not found & {(i, x) for i in (0, 1, 2, 7) for x in t}
