@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cofi.llm.common import map_batches, pieces, text_rows
 
 STRETCH = 1 << 20  # characters after which a long text is cut at the next safe place
-MEMO_BYTES = 96 << 20  # what a worker's memo of encoded matches may take
+MEMO_BYTES = 40 << 20  # what a worker's memo of encoded matches may take
 LONGEST = 128      # characters of a match that is remembered
 
 
