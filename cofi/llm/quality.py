@@ -1,17 +1,19 @@
 """Quality rules with adaptive thresholds (operator 7).
 
-Each document's measures are compared with fences that its own language and source set:
-the quartiles of the measure there, widened by a multiple of their distance. The quartiles
-come from mergeable quantile sketches: logarithmic bins (values of a bin differ by less
-than 2 x ALPHA of their size) with exact counts, so sketches merge by adding counts, in
-any order, with one result, and building them is one grouped count with partial sums
-before the shuffle. A (language, source) with fewer than ``min_docs`` documents takes the
-merged sketch of its language, and that one the merged sketch of all, in the same way.
+Each document's measures are compared with fences that its own language and source set: the quartiles
+of the measure there, widened by ``FENCE`` times the group's spread. The spread is the distance of the
+quartiles, or what one event (a symbol, a capital, a repeated window) makes in the group's median
+document where that is more, so a source of short texts allows larger shares than one of long texts.
+No fence holds a hand-set value of a measure. The quantiles come from mergeable sketches: logarithmic
+bins (values of a bin differ by less than 2 x ALPHA of their size) with exact counts, so sketches merge
+by adding counts, in any order, with one result, and building them is one grouped count with partial
+sums before the shuffle. A small group leans on its parent: its quantiles are averaged with those of
+its language, which count as ``WEIGHT`` documents, and the language's in the same way with those of all.
 The documents are then joined with the thresholds of their group.
 
 Defined cases: a null text has no words and fails the base rule; null language or source
-is a group like any other; repeated rows are judged each; an empty table gives an empty
-table.
+is a group like any other; a value at its fence is kept; repeated rows are judged each; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,11 +34,14 @@ ASCII = re.compile("[\x00-\x7f]+")
 SYMBOLS = "#*$%&|<>"
 ALPHA = 0.01                        # relative error of a sketch's quantile
 LEAST = 1e-6                        # values below count as zero
-MIN_DOCS = 50                       # a sketch of fewer documents gives way to its parent
-FENCE = 6.0                         # spreads a measure may lie outside its quartiles
-#: measure: (least spread, whether small values are judged too)
-MEASURES = {"word_length": (0.3, True), "symbol_share": (0.05, False), "dup_line_share": (0.07, False),
-            "repeat_share": (0.05, False), "upper_share": (0.02, False)}
+WEIGHT = 50.0                       # documents that a parent's quantiles count for
+FENCE = 4.0                         # spreads a measure may lie outside its quartiles
+QUARTILES = (0.25, 0.5, 0.75)
+#: measure: (what a document's size is, the units of one event in it, whether small values are judged too);
+#: a repeated window covers twice its 8 words
+MEASURES = {"word_length": ("n_words", 1, True), "symbol_share": ("n_words", 1, False),
+            "repeat_share": ("n_words", 16, False), "upper_share": ("word_chars", 1, False)}
+SIZES = ("n_words", "word_chars")
 
 STATS = ("n_words BIGINT, word_chars BIGINT, n_symbols BIGINT, n_dup_lines BIGINT, "
          "n_repeat_words BIGINT, n_lines BIGINT, n_upper BIGINT")
@@ -111,7 +116,6 @@ def measure(docs: DataFrame, *keys: str) -> DataFrame:
 def shares() -> dict[str, Column]:
     per = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0))
     return {"word_length": per("word_chars", "n_words"), "symbol_share": per("n_symbols", "n_words"),
-            "dup_line_share": per("n_dup_lines", "n_lines"),
             "repeat_share": per("n_repeat_words", "n_words"), "upper_share": per("n_upper", "word_chars")}
 
 
@@ -119,9 +123,9 @@ def sketch(stats: DataFrame) -> DataFrame:
     """(lang, source, measure, bin, n): the sketch of every group, one count per bin. Bin -1
     holds zeros; bin b > -1 holds values up to LEAST * g^b, g = (1 + ALPHA) / (1 - ALPHA)."""
     step = float(np.log((1 + ALPHA) / (1 - ALPHA)))
-    own = shares()
+    own = shares() | {c: F.col(c).cast("double") for c in SIZES}
     long = stats.select("lang", "source", F.explode(F.array(
-        *[F.struct(F.lit(m).alias("measure"), own[m].alias("value")) for m in MEASURES])).alias("x"))
+        *[F.struct(F.lit(m).alias("measure"), own[m].alias("value")) for m in own])).alias("x"))
     bin_no = F.when(F.col("x.value") <= LEAST, F.lit(-1)).otherwise(
         F.ceil(F.log(F.col("x.value") / LEAST) / step).cast("int"))
     return (long.select("lang", "source", "x.measure", bin_no.alias("bin"))
@@ -143,28 +147,31 @@ def quantiles(bins: DataFrame, keys: list[str], at: tuple[float, ...]) -> DataFr
           for i, q in enumerate(at)])
 
 
-def thresholds(stats: DataFrame, min_docs: int = MIN_DOCS, fence: float = FENCE) -> DataFrame:
+def thresholds(stats: DataFrame, weight: float = WEIGHT, fence: float = FENCE) -> DataFrame:
     """(lang, source, <measure>_low, <measure>_high...): one row per group of ``stats``."""
     bins = materialize(sketch(stats), "quality-sketch")
-    own = quantiles(bins, ["lang", "source"], (0.25, 0.75)).toDF("lang", "source", "measure", "t0", "a0", "b0")
-    lang = quantiles(bins, ["lang"], (0.25, 0.75)).toDF("lang1", "measure1", "t1", "a1", "b1")
-    every = quantiles(bins, [], (0.25, 0.75)).toDF("measure2", "t2", "a2", "b2")
+    own = quantiles(bins, ["lang", "source"], QUARTILES).toDF("lang", "source", "measure", "t0", "a0", "m0", "b0")
+    lang = quantiles(bins, ["lang"], QUARTILES).toDF("lang1", "measure1", "t1", "a1", "m1", "b1")
+    every = quantiles(bins, [], QUARTILES).toDF("measure2", "t2", "a2", "m2", "b2")
     x = (own.join(lang, F.col("lang").eqNullSafe(F.col("lang1")) & (F.col("measure") == F.col("measure1")))
          .join(every, F.col("measure") == F.col("measure2")))
-    pick = lambda c: (F.when(F.col("t0") >= min_docs, F.col(f"{c}0"))
-                      .when(F.col("t1") >= min_docs, F.col(f"{c}1")).otherwise(F.col(f"{c}2")))
-    least = F.create_map(*[y for m, (s, _) in MEASURES.items() for y in (F.lit(m), F.lit(s))])
-    spread = F.greatest(F.col("b") - F.col("a"), least[F.col("measure")])
-    x = (x.select("lang", "source", "measure", pick("a").alias("a"), pick("b").alias("b"))
-         .withColumns({"low": F.col("a") - fence * spread, "high": F.col("b") + fence * spread}))
-    value = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}")
-    return x.groupBy("lang", "source").agg(*[value(m, c) for m in MEASURES for c in ("low", "high")])
-
-
-def judge(docs: DataFrame, min_docs: int = MIN_DOCS, fence: float = FENCE) -> DataFrame:
+    lean = lambda n, value, parent: (F.col(n) * F.col(value) + weight * parent) / (F.col(n) + weight)
+    x = x.select("lang", "source", "measure", *[
+        lean("t0", f"{c}0", lean("t1", f"{c}1", F.col(f"{c}2"))).alias(c) for c in "amb"])
+    wide = x.groupBy("lang", "source").agg(*[
+        F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in (*MEASURES, *SIZES) for c in "amb"])
+    out = []
+    for m, (size, units, _) in MEASURES.items():
+        a, b = F.col(f"{m}_a"), F.col(f"{m}_b")
+        spread = F.greatest(b - a, units / F.greatest(F.col(f"{size}_m"), F.lit(1.0)))
+        out += [(a - fence * spread).alias(f"{m}_low"), (b + fence * spread).alias(f"{m}_high")]
+    return wide.select("lang", "source", *out)
+
+
+def judge(docs: DataFrame, weight: float = WEIGHT, fence: float = FENCE) -> DataFrame:
     """(doc_id, lang, source, STATS..., base_failed, kept) per row of ``docs``."""
     stats = materialize(measure(docs, "lang", "source"), "quality-stats")
-    return decide(stats, thresholds(stats, min_docs, fence))
+    return decide(stats, thresholds(stats, weight, fence))
 
 
 def decide(stats: DataFrame, limits: DataFrame) -> DataFrame:
@@ -173,7 +180,7 @@ def decide(stats: DataFrame, limits: DataFrame) -> DataFrame:
     limits = limits.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     own = shares()
     inside = F.lit(True)
-    for m, (_, low_too) in MEASURES.items():
+    for m, (_, _, low_too) in MEASURES.items():
         inside &= own[m] <= F.col(f"{m}_high")
         if low_too:
             inside &= own[m] >= F.col(f"{m}_low")
