@@ -1,13 +1,15 @@
 """Format-preserving pseudonyms for personal data (operator 2), DataFrame functions only.
 
 Found values are validated (card: Luhn sum; IBAN: remainder 97; IP: four octets; social
-security number: no reserved part; phone: 10 to 15 digits; date: a real day of the covered
+security number: no reserved part; phone: 10 to 15 digits marked by a plus, a leading 0 or 00,
+brackets or groups of 3, 3 and 4, and not what follows a thousands separator; date: a real day of the covered
 range) and replaced by a keyed permutation within their format: a Feistel network over
 the value's symbols, each with its own radix (a digit 10, a letter 26, an octet 256, a day
 of the range 250 x 292). Each round adds, symbol by symbol modulo its radix, a number from
 SHA-256 of the key, the kind, the round and the other half, which can be undone, so
 different values of a format get different pseudonyms and equal values the same one in
-every document. Check digits are computed anew, so a pseudonym is valid in the same way.
+every document. Check digits are computed anew, so a pseudonym is valid in the same way. (A
+phone's first digits may change, so its pseudonym need not be marked as one.)
 
 A value ends where it validates: cards, IBANs and phones that fail as far as their format
 reaches are tried up to each earlier gap (an IBAN first up to its country's length, otherwise
@@ -46,11 +48,13 @@ FORMATS = {
     "ip": rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\w)",
     "date": r"(?<![\w.\-/])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\-/]?\w)",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?!-?\w)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{2,4}[ .\-]\d{2,4}(?:[ .\-]\d{2,4})?(?![\w]|-\d)"
+    "phone": r"(?<![\w+])(?!(?<=\d[ .])\d{3}(?:[ .]\d{3})+(?!\d))(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{2,4}[ .\-]\d{2,4}(?:[ .\-]\d{2,4})?(?![\w]|-\d)"
              r"|(?<![\w+])\+\d{10,15}(?!\w)"
              r"|(?<![\w+])(?:\+|00)[1-9]\d{0,2}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,8}(?:[ .\-]\d{2,8}){1,3}(?![\w]|-\d)",
     "card": r"(?<![\w])\d(?:[ \-]?\d){12,18}(?!\w)",
 }
+#: What tells a phone from other grouped digits: a plus, 00 or 0 before the number, brackets, or groups of 3, 3 and 4.
+PHONE_MARK = r"^(?:\+|\(|00?[1-9]|[2-9]\d\d([ .\-])\d{3}\1\d{4}$)"
 CARD_FIRST = ("email", "key", "iban", "ip", "date", "ssn", "card", "phone")
 ANY = "|".join(f"(?:{FORMATS[k]})" for k in CARD_FIRST)
 #: A number grouped as cards are.
@@ -201,7 +205,7 @@ def _jobs(kind: Column, m: Column) -> Column:
             [area - 1 - F.when(area > 666, 1).otherwise(0), group - 1, serial - 1], [898, 99, 9999], "ssn")))
         .when(kind == "card", let(digits, lambda x: one(_valid_card(x), _char_job(
             x.substr(F.lit(1), F.length(x) - 1), F.lit("card"), no))))
-        .when(kind == "phone", let(digits, lambda x: one(_valid_phone(x), _char_job(
+        .when(kind == "phone", let(digits, lambda x: one(_valid_phone(x) & F.regexp_like(m, F.lit(PHONE_MARK)), _char_job(
             x.substr(F.length(_country(m)) + 1, F.lit(17)), F.lit("phone"), no)))))
 
 
@@ -243,7 +247,8 @@ def _end_of(kind: str, m: Column) -> Column:
         return F.coalesce(F.get(F.filter(own, valid), F.lit(0)), _longest(m, " ", valid))
     if kind == "card":
         return _longest(m, r"[ \-]", lambda x: let(_digits(x), _valid_card))
-    return _longest(m, r"[ .]", lambda x: _valid_phone(_digits(x)) & F.regexp_like(x, F.lit(f"^(?:{_alone('phone')})$")))
+    return _longest(m, r"[ .\-]", lambda x: _valid_phone(_digits(x)) & F.regexp_like(x, F.lit(PHONE_MARK))
+                    & F.regexp_like(x, F.lit(f"^(?:{_alone('phone')})$")))
 
 
 def _chosen(matches: Column, phones: Column) -> Column:

@@ -177,3 +177,13 @@ def test_keys_of_letters_only(spark):
     got = {r.doc_id: r for r in pii.pseudonyms(df, KEY).collect()}
     assert got[1].n_key == 1 and "deadbeef" * 4 not in got[1].text
     assert got[2].n_key == 0 and got[2].text == "token " + "deadbeef" * 3 + " end"
+
+
+def test_grouped_digits_that_are_no_phone_stay(spark):
+    """Thousands, years and lists of numbers stay; marked or usually grouped numbers go."""
+    numbers = ["10 000 000 000", "1 000 000 000 000", "5 012 345 678 901 pieces", "2023-2024 15 16", "10 12 14 1999", "12.345.678.901", "100 200 300 400"]
+    phones = ["(212) 555-0199", "212-555-0199", "212.555.0199", "0170 1234 5678", "+49 170 1234567", "0049 170 1234567"]
+    got, rows = masked(spark, numbers + phones)
+    assert got[:len(numbers)] == numbers
+    assert all(a != b for a, b in zip(got[len(numbers):], phones))
+    assert [r.n_phone for r in rows] == [0] * len(numbers) + [1] * len(phones)
