@@ -106,9 +106,12 @@ def test_dense_and_sparse_groups_agree(monkeypatch, consumer, options, least):
                 monkeypatch.setattr(consumer, "_is_dense", lambda *_, d=dense: d)
                 total = {}
                 for cols in consumer(rule, 0, **options).run(a, other, items):
-                    for x in zip(*cols, strict=True):
-                        n = 2 if consumer is blocks._Sums else len(x) - 1 - (consumer is blocks._Best)
-                        total[x[:n]] = np.add(total.get(x[:n], 0), x[n:])
+                    for x in zip(*(c.tolist() for c in cols), strict=True):
+                        if consumer is blocks._Best:
+                            total[x[:3]] = np.add(total.get(x[:3], 0), [len(x[3]), sum(x[3]), sum(x[4]), x[5]])
+                        else:
+                            n = 2 if consumer is blocks._Sums else 3
+                            total[x[:n]] = np.add(total.get(x[:n], 0), x[n:])
                 found.append(total)
             assert found[0] and found[0].keys() == found[1].keys()
             assert all(found[0][p] == pytest.approx(found[1][p], abs=1e-12) for p in found[0])
