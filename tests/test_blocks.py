@@ -127,3 +127,20 @@ def test_bins_in_blocks(spark):
         of.setdefault(r.user_id, set()).add(r.bin)
     got = [(r.bin, r.u, r.v) for r in approx.bin_pairs(rhat, bins, 4, block_rows=60).collect()]
     assert sorted(got) == sorted((min(of[u] & of[v]), u, v) for u, v in sims if u < v and of[u] & of[v])
+
+
+def test_several_graphs_at_once_equal_each_alone(spark):
+    rows = _ratings()
+    train = _frame(spark, {p: 2.0 + x for p, x in rows.items()}, "rating")
+    dev = _frame(spark, rows, "dev")
+    test = spark.createDataFrame([(u, i, 3.0) for u in range(0, 430, 7) for i in range(0, 27, 5)],
+                                 "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    r = random.Random(3)
+    edges = [(u, v, r.uniform(-1, 1), sorted(r.sample([1, 4, 9], 2))) for u in range(0, 420, 7) for v in r.sample(range(0, 420, 7), 6)]
+    graph = spark.createDataFrame([(u, v, s, g) for u, v, s, gs in edges for g in gs], "user_id BIGINT, neighbor_id BIGINT, sim DOUBLE, g BIGINT")
+    got = predict.pred_weighted_per(train, test, dev, graph, "g", [9, 1, 4])
+    assert "collect_list" not in _plan(got)  # graphs are bits of an edge
+    have = {(x.g, x.user_id, x.item_id): x.prediction for x in got.collect()}
+    want = {(g, x.user_id, x.item_id): x.prediction for g in (1, 4, 9)
+            for x in predict.pred_weighted(train, test, dev, graph.where(F.col("g") == g)).collect()}
+    assert have.keys() == want.keys() and all(have[p] == pytest.approx(want[p], abs=1e-9) for p in want)
