@@ -25,12 +25,14 @@ count like any other. Empty tables give no rows. Extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cofi.llm.common import map_batches, pieces
@@ -43,6 +45,7 @@ WAVES = 4               # shares of a language's occurrences per wave: 1/8, 1/8,
 BITS_PER_ENTRY = 16
 LEAST_BITS, MOST_BITS = 1 << 15, 1 << 30  # of a bit map: 4 KB to 128 MB
 MAP_BITS = 32_768       # bits per row of Spark's bitmap_construct_agg
+BATCH_BYTES = 8 << 20   # of a batch that goes to Python; Spark's own limit is 64 MB, held several times over per task
 
 #: What a byte is: 0 part of a word, 1 between words, 2 between pieces.
 KIND = np.zeros(256, np.uint8)
@@ -52,6 +55,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches to Python hold ``BATCH_BYTES`` and one row at most, in the jobs run inside."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(words, starts): all words of the texts in order, A-Z lower-cased, and whether a word begins a
     piece. Works on the bytes of all texts at once; no word or piece goes over a text's end."""
@@ -158,8 +173,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def blocks_of(docs: DataFrame, frequent: BitMap) -> DataFrame:
-    """(lang, vocabulary ARRAY<BINARY>, hashes BINARY, numbers BINARY): the texts, written; 32-bit numbers
-    into the vocabulary, -1 for a piece's end or a rare word."""
+    """(lang, vocabulary BINARY, hashes BINARY, numbers BINARY): the texts, written; 32-bit numbers
+    into the vocabulary, -1 for a piece's end or a rare word. Vocabulary (words joined by spaces) and numbers are
+    packed here, so that Spark holds and copies less; its own codec, which keeps buffers of a whole page's size
+    (a hundred rows at least) off the heap, is left out."""
 
     def encode(batch: pa.RecordBatch) -> Iterator[dict]:
         for lang, texts in by_language(batch):
@@ -174,10 +191,10 @@ def blocks_of(docs: DataFrame, frequent: BitMap) -> DataFrame:
             # a gap before each piece; runs of gaps become one
             numbers = np.insert(numbers, np.flatnonzero(new), -1)
             keep = (numbers >= 0) | np.concatenate([[True], numbers[:-1] >= 0])
-            yield {"lang": [lang], "vocabulary": pa.array([coded.dictionary.filter(pa.array(good)).cast(pa.binary())], pa.list_(pa.binary())),
-                   "hashes": [h[good].astype("<u8").tobytes()], "numbers": [numbers[keep].astype("<i4").tobytes()]}
+            yield {"lang": [lang], "vocabulary": [zstandard.compress(b" ".join(coded.dictionary.filter(pa.array(good)).to_pylist()), 1)],
+                   "hashes": [h[good].astype("<u8").tobytes()], "numbers": [zstandard.compress(numbers[keep].astype("<i4").tobytes(), 1)]}
 
-    return materialize(map_batches(docs, encode, "lang STRING, vocabulary ARRAY<BINARY>, hashes BINARY, numbers BINARY"), "blocks")
+    return materialize(map_batches(docs, encode, "lang STRING, vocabulary BINARY, hashes BINARY, numbers BINARY"), "blocks", "uncompressed")
 
 
 class Block:
@@ -216,9 +233,11 @@ class Block:
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[Block]:
-    lists = batch.column(1)
     for i in range(batch.num_rows):
-        yield Block(batch.column(0)[i].as_py(), lists[i].values, batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
+        lang, vocabulary, hashed, numbers = (batch.column(c)[i].as_py() for c in range(4))
+        words = zstandard.decompress(vocabulary)
+        words = pa.array(words.split(b" ") if words else [], pa.binary())
+        yield Block(lang, words, hashed, zstandard.decompress(numbers))
 
 
 def grown(blocks: DataFrame, length: int, prefix: DataFrame, prefixes: BitMap, least: int) -> DataFrame:
@@ -341,6 +360,11 @@ def frontier(words: DataFrame, totals: DataFrame) -> DataFrame:
 def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best ``top`` surviving phrases of each language, of those
     that occur ``least`` times or more."""
+    with small_batches(documents.sparkSession):  # every job with Python runs in here
+        return _collocations(documents, least, top)
+
+
+def _collocations(documents: DataFrame, least: int, top: int) -> DataFrame:
     docs = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                             F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     words = word_counts(docs)

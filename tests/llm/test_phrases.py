@@ -105,3 +105,38 @@ def test_scores_over_64_bits(spark):
     totals = spark.createDataFrame([("en", 9 * big)], "lang STRING, n BIGINT")
     row = phrases.scored(found, counts, totals).first()
     assert row["score"] == 1000 * big * 9 * big // ((big + 1) * (big + 3))
+
+
+def test_batches_and_blocks_stay_small(spark, monkeypatch, tmp_path):
+    """No batch to Python holds more than ``BATCH_BYTES`` and a row, the session's own limit is back afterwards, and
+    a block is packed where it is made."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", str(tmp_path / "seen")
+    monkeypatch.setattr(phrases, "BATCH_BYTES", 1 << 17)
+    plain_map, blocks = phrases.map_batches, []
+
+    def noted(df, fn, schema):
+        def look(batch):
+            with open(seen, "a") as f:
+                f.write(f"{batch.nbytes - batch.nbytes // batch.num_rows}\n")
+            return fn(batch)
+
+        return plain_map(df, look, schema)
+
+    def kept(df, name, *a):
+        out = materialize(df, name, *a)
+        blocks.extend([out] if name == "blocks" else [])
+        return out
+
+    materialize = phrases.materialize
+    monkeypatch.setattr(phrases, "map_batches", noted)
+    monkeypatch.setattr(phrases, "materialize", kept)
+    rows = [("en", "Alpha beta gamma. \x0bdelta \x1f\x85 " * 700) for _ in range(60)]
+    spark.conf.set(key, "32m")
+    try:
+        got = run(spark, rows, 100, 20)
+        assert spark.conf.get(key) == "32m"
+    finally:
+        spark.conf.unset(key)
+    assert got == plain(rows, 100, 20)
+    assert max(map(int, open(seen).read().split())) <= (1 << 17)
+    assert sum(len(r["numbers"]) for r in blocks[0].collect()) < 4 * 60 * 700
