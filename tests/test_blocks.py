@@ -144,3 +144,26 @@ def test_several_graphs_at_once_equal_each_alone(spark):
     want = {(g, x.user_id, x.item_id): x.prediction for g in (1, 4, 9)
             for x in predict.pred_weighted(train, test, dev, graph.where(F.col("g") == g)).collect()}
     assert have.keys() == want.keys() and all(have[p] == pytest.approx(want[p], abs=1e-9) for p in want)
+
+
+def test_edges_take_test_items_along_as_lists(spark, monkeypatch):
+    """No row per edge and test item is joined: an edge travels once per list; repeated and null rows count as before."""
+    monkeypatch.setattr(predict, "LIST_ITEMS", 4)
+    test = spark.createDataFrame([(u, i, 3.0) for u in (1, 2) for i in range(40)] + [(1, 5, 3.0), (None, 3, 3.0), (3, None, 3.0)],
+                                 "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    sims = [(1, 8, 0.5), (1, 9, -0.25), (2, 9, 1.0), (2, 7, 0.5), (3, 9, 0.5)]
+    edges = spark.createDataFrame(sims, "user_id BIGINT, neighbor_id BIGINT, sim DOUBLE")
+    devs = [(8, 5, 1.0), (8, 39, 0.5), (9, 5, -1.0), (9, 5, -1.0), (9, 77, 1.0), (7, None, 1.0)]
+    dev = spark.createDataFrame(devs, "user_id BIGINT, item_id BIGINT, dev DOUBLE")
+    sums = predict.neighbour_sums(test, edges, dev)
+    want = {}
+    for u, v, s in sims[:4]:
+        for w, i, d in devs:
+            if v == w and i is not None and i < 40:
+                x = want.setdefault((u, i), [0.0, 0.0])
+                x[0], x[1] = x[0] + s * d, x[1] + abs(s)
+    assert {(r.user_id, r.item_id): [r.num, r.den] for r in sums.collect()} == want
+    lists = predict._lists(test.where("user_id IN (1, 2)")).collect()
+    assert sorted(i for r in lists if r.user_id == 1 for i in r._asked) == list(range(40))
+    assert len(lists) <= 2 * 11 and sum(len(r._asked) for r in lists) == 80
+    assert "array_contains(_asked" in _plan(sums)
