@@ -196,6 +196,19 @@ def test_lists_with_new_users_equal_a_rebuild(ev, spark, n_new, k):
         knn.with_new_users(lists, data, spark.createDataFrame([(ids[0],)], "user_id BIGINT"), k).collect()
 
 
+def test_new_users_meet_written_preprocessed_ratings(ev, spark, monkeypatch):
+    """With the earlier users' preprocessed ratings at hand only the new users' are formed; the graph is that of a rebuild."""
+    new = sorted(r.user_id for r in ev.users.collect())[-3:]
+    added = spark.createDataFrame([(u,) for u in new], "user_id BIGINT")
+    rhat = stats.enrich(ev.train.where(~F.col("user_id").isin(new))).select("user_id", "item_id", "rhat")
+    lists, want, formed = knn.knn_lists(rhat, 3), knn.knn_from_ratings(ev.train, 3), []
+    enrich = stats.enrich
+    monkeypatch.setattr(stats, "enrich", lambda t: formed.append({r.user_id for r in t.select("user_id").distinct().collect()}) or enrich(t))
+    got = knn.merged(knn.with_new_users(lists, ev.train, added, 3, rhat), 3, stats.n_users(ev.train) - 1)
+    rows = lambda g: {(r.user_id, r.neighbor_id, r.rank, round(r.sim, 9)) for r in g.collect()}
+    assert rows(got) == rows(want) and formed == [set(new)]
+
+
 def _sets(spark, seed=4):
     """Users in groups that share most of their rare items; everyone has frequent ones too."""
     import random
