@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cofi.operators import blocks, knn, similarity
-from cofi.operators.blocks import Rule, attrs
+from cofi.operators.blocks import Rule
 
 ITEMS = np.arange(24)
 
@@ -194,3 +194,31 @@ def test_rounding_errors_are_no_similarity():
         lists._pays = lambda *_, d=dense: d
         lists.meet(b, False)
         assert {(u, v) for c in lists.found() for u, vs in zip(c[2].tolist(), c[3].tolist(), strict=True) for v in vs} == {(1, 10), (0, 12)}
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_rounding_errors_add_nothing_to_sums(monkeypatch, dense):
+    """A neighbour whose similarity is a rounding error weighs nothing, however the sums are formed."""
+    nan = math.nan
+
+    def side(lo, rows):
+        u, i, x, d = (np.array(c) for c in zip(*rows, strict=True))
+        return blocks._Side(u + lo, i, x, d, np.zeros((0, len(u)), int))
+
+    a = side(0, [(0, 0, 0.1, 1.0), (0, 1, 0.7, 1.0), (0, 2, 1e-9, 1.0), (0, 3, nan, nan)])
+    b = side(9, [(0, 0, 0.7, 1.0), (0, 1, -0.1, 1.0), (0, 3, 0.4, 9e9), (1, 2, 1e-9, 0.5), (1, 3, 0.4, 2.0), (1, 1, nan, nan), (2, 5, 1.0, 1.0),
+                 *[(x, 5, 1.0, 1.0) for x in range(3, 30)]])
+    monkeypatch.setattr(blocks._Sums, "_is_dense", lambda *_: dense)
+    got = {x[:2]: x[2:] for cols in blocks._Sums(Rule(), 0).run(a, b, ITEMS) for x in zip(*(c.tolist() for c in cols), strict=True)}
+    near = lambda x: pytest.approx(x, rel=1e-9, abs=0)
+    assert got == {(0, 3): (near(2e-18), near(1e-18)), (10, 1): (near(1e-18), near(1e-18))}
+
+
+def test_each_block_pair_is_a_task_of_its_own(spark):
+    frame = spark.createDataFrame([(u, i, x) for (u, i), x in _ratings(120, 6).items()], "user_id BIGINT, item_id BIGINT, rhat DOUBLE")
+    found = similarity.cosine_pairs(frame, block_rows=100)
+    blocks_ = blocks._shape(similarity.rated(frame).select(F.lit(0).alias("cell"), "user_id", "item_id"), 100, 0)[1]
+    own = F.greatest("u", "v")
+    per = found.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct(F.pmod(F.xxhash64(own), F.lit(blocks_)), F.pmod(
+        F.xxhash64(F.least("u", "v")), F.lit(blocks_))).alias("n")).collect()
+    assert len(per) == blocks_ * (blocks_ + 1) // 2 and max(r.n for r in per) <= 2  # (i, j) and (j, i)
